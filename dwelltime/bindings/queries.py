@@ -74,11 +74,11 @@ def unmatched_observations(spark, sf_dir):
 # Grains -------------------------------------------------------------------------------
 
 def headlines(spark, sf_dir):
-    return grains.headlines(grains.hourly_tally(star.view(spark, sf_dir)))
+    return grains.headlines(star.view(spark, sf_dir))
 
 
 def hour_of_week_profile(spark, sf_dir):
-    return grains.profiles(grains.hourly_tally(star.view(spark, sf_dir)))
+    return grains.profiles(star.view(spark, sf_dir))
 
 
 def stop_totals(spark, sf_dir):
@@ -137,26 +137,29 @@ def biggest_silent_lines(spark, sf_dir):
         quality.silent_lines(quality.line_counts(star.arrivals(spark, sf_dir)))))
 
 
-def _checks(spark, sf_dir):
-    counted = quality.line_counts(star.arrivals(spark, sf_dir))
-    return quality.quality_checks(
-        _report(spark, sf_dir), quality.by_agency(counted), quality.silent_lines(counted))
+def _quality(spark, sf_dir) -> dict[str, DataFrame]:
+    """Report, feed counts, silent lines and checks over one written table of arrivals."""
+    rows = materialise(star.arrivals(spark, sf_dir), "arrivals")
+    counted = quality.line_counts(rows)
+    report = materialise(quality.with_ratios(
+        quality.daily_report(rows), quality.observation_check(star.observed(spark, sf_dir), rows)), "report")
+    agencies, silent = quality.by_agency(counted), quality.silent_lines(counted)
+    return {"report": report, "agencies": agencies, "silent": silent,
+            "checks": quality.quality_checks(report, agencies, silent)}
 
 
 def quality_checks(spark, sf_dir):
-    return plain(_round6(_checks(spark, sf_dir).drop("label"), "value"))
+    return plain(_round6(_quality(spark, sf_dir)["checks"].drop("label"), "value"))
 
 
 def quality_verdicts(spark, sf_dir):
-    return plain(quality.verdicts(_checks(spark, sf_dir)))
+    return plain(quality.verdicts(_quality(spark, sf_dir)["checks"]))
 
 
 def report_text(spark, sf_dir):
-    counted = materialise(quality.line_counts(star.arrivals(spark, sf_dir)), "line-counts")
-    report = materialise(_report(spark, sf_dir), "report")
-    agencies, silent = quality.by_agency(counted), quality.silent_lines(counted)
+    found = _quality(spark, sf_dir)
     return plain(quality.report_text(
-        report, agencies, quality.quality_checks(report, agencies, silent), silent))
+        found["report"], found["agencies"], found["checks"], found["silent"]))
 
 
 # Labels -------------------------------------------------------------------------------
@@ -314,8 +317,7 @@ def text_functions(spark, sf_dir):
 
 def _documents(spark, sf_dir):
     view = materialise(star.view(spark, sf_dir), "view")
-    hourly = materialise(grains.hourly_tally(view), "hourly")
-    profile = materialise(grains.profiles(hourly), "profile")
+    profile = materialise(grains.profiles(view), "profile")
     names = {
         "lines": labels.line_labels(star.routes(spark, sf_dir), NETWORK),
         "stops": labels.stop_names(star.gtfs_stops(spark, sf_dir), NETWORK),
@@ -327,7 +329,7 @@ def _documents(spark, sf_dir):
     directions = materialise(
         documents.direction_entries(profile, stops, names["directions"]), "directions")
     span = documents.Span.lazily(grains.day_span(view))
-    return view, hourly, profile, names, stops, directions, span
+    return view, profile, names, stops, directions, span
 
 
 def site_stops(spark, sf_dir):
@@ -339,13 +341,13 @@ def site_stops(spark, sf_dir):
 
 def site_line_parts(spark, sf_dir):
     """The ordered parts of every line's document."""
-    _, _, profile, names, stops, directions, span = _documents(spark, sf_dir)
+    _, profile, names, stops, directions, span = _documents(spark, sf_dir)
     return documents.line_parts(profile, stops, directions, names, span)
 
 
 def site_index(spark, sf_dir):
-    _, hourly, profile, names, _, directions, span = _documents(spark, sf_dir)
-    entries = documents.index_entries(grains.headlines(hourly), profile, directions, names)
+    view, profile, names, _, directions, span = _documents(spark, sf_dir)
+    entries = documents.index_entries(grains.headlines(view), profile, directions, names)
     return documents.index_document(entries, span)
 
 
@@ -356,7 +358,7 @@ def site_status(spark, sf_dir):
 
 def site_file_sizes(spark, sf_dir):
     """Writes the line files and weighs them, one row per line."""
-    _, _, profile, names, stops, directions, span = _documents(spark, sf_dir)
+    _, profile, names, stops, directions, span = _documents(spark, sf_dir)
     path = fresh_path(spark, "lines")
     site.write_lines(documents.line_parts(profile, stops, directions, names, span), path)
     return sizes.document_sizes(spark, path)
@@ -440,12 +442,12 @@ def zip_members(spark, sf_dir):
 # Streams ------------------------------------------------------------------------------
 
 def _spool(spark, sf_dir) -> str:
-    """Feed records as spool files of one hour each."""
+    """Feed records as spool files of one day each."""
     path = fresh_path(spark, "spool")
     records = star.feed_records(spark, sf_dir)
     lines = landing.enveloped(records.select("received_at", "agency", F.col("props").alias("payload")))
-    (lines.select("value", F.concat_ws("-", F.col("dt").cast("string"), "hh").alias("hour"))
-     .hint("rebalance", "hour").write.option("compression", "gzip").partitionBy("hour").text(path))
+    (lines.select("value", F.col("dt").alias("day")).hint("rebalance", "day")
+     .write.option("compression", "gzip").partitionBy("day").text(path))
     return path
 
 

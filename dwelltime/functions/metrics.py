@@ -1,8 +1,8 @@
 """The delay metrics every grain shares, and the safe ratios of the daily report.
 
-Metrics are computed from a tally: one row per group and distinct delay, with a row count.
-A tally merges on the map side whatever the skew of its group, and a group's quantile
-buffer then holds distinct seconds of delay, not rows.
+Quantiles are exact. Their buffers hold distinct whole seconds with a count each, merge on
+the map side, and so grow with the spread of the delays and not with the rows of a group:
+a group holding a third of all rows reaches its reducer as one small buffer per task.
 """
 
 from __future__ import annotations
@@ -11,29 +11,17 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from dwelltime import fixed_values as fixed
 
-ROWS = "tally_rows"
 DELAY = "delay_seconds"
 
 
-def tally(rows: DataFrame, keys: list, value: str = DELAY) -> DataFrame:
-    """Row counts per group and distinct value."""
-    return rows.groupBy(*keys, value).agg(F.count(F.lit(1)).alias(ROWS))
+def quantiles(value: Column | str, levels: list[float]) -> Column:
+    """Exact continuous quantiles, all levels from one buffer."""
+    return F.percentile(value, F.array(*[F.lit(level) for level in levels]))
 
 
-def coarser(tallied: DataFrame, keys: list[str], value: str = DELAY) -> DataFrame:
-    """A tally over fewer keys, from a finer one."""
-    return tallied.groupBy(*keys, value).agg(F.sum(ROWS).alias(ROWS))
-
-
-def rows_where(condition: Column, rows: str = ROWS) -> Column:
-    """How many tallied rows satisfy a condition; 0 rather than NULL."""
-    return F.sum(F.when(condition, F.col(rows)).otherwise(0))
-
-
-def quantiles(value: str, levels: list[float], rows: str = ROWS) -> Column:
-    """Exact continuous quantiles of a tally, all levels from one buffer."""
-    wanted = F.array(*[F.lit(level) for level in levels])
-    return F.percentile(F.col(value), wanted, F.col(rows))
+def level(at: int, name: str = "levels") -> Column:
+    """One of the quantiles; NULL where there was nothing to rank."""
+    return F.get(name, F.lit(at))
 
 
 def share(part: Column, whole: Column) -> Column:
@@ -50,23 +38,15 @@ def whole_seconds(value: Column) -> Column:
     return F.round(F.round(value, 6)).cast("int")
 
 
-def delay_metrics(tallied: DataFrame, keys: list[str], measured_only: bool = True) -> DataFrame:
-    """Scheduled, measured, median, 90th percentile and late share per group.
-
-    `measured_only` drops groups in which nothing was measured.
-    """
+def delay_metrics(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Scheduled, measured, median, 90th percentile and late share of groups with a measured row."""
     delay = F.col(DELAY)
-    grouped = tallied.groupBy(*keys).agg(
-        F.sum(ROWS).alias("scheduled"),
-        rows_where(delay.isNotNull()).alias("measured"),
-        rows_where(delay > fixed.LATE_SECONDS).alias("late"),
-        quantiles(DELAY, [0.5, 0.9]).alias("levels"),
-    )
-    if measured_only:
-        grouped = grouped.where(F.col("measured") > 0)
-    return grouped.select(
+    grouped = rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("scheduled"),
+        F.count(delay).alias("measured"),
+        F.count_if(delay > fixed.LATE_SECONDS).alias("late"),
+        quantiles(delay, [0.5, 0.9]).alias("levels"))
+    return grouped.where(F.col("measured") > 0).select(
         *keys, "scheduled", "measured",
-        whole_seconds(F.get("levels", F.lit(0))).alias("med"),
-        whole_seconds(F.get("levels", F.lit(1))).alias("p90"),
-        F.round(share(F.col("late"), F.col("measured")), 1).alias("pct5"),
-    )
+        whole_seconds(level(0)).alias("med"), whole_seconds(level(1)).alias("p90"),
+        F.round(share(F.col("late"), F.col("measured")), 1).alias("pct5"))

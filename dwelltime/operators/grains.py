@@ -28,24 +28,19 @@ def rider_view(arrivals: DataFrame, zone: str) -> DataFrame:
             .drop("wall"))
 
 
-def hourly_tally(view: DataFrame) -> DataFrame:
-    """Delay counts by line, direction and hour of week. Profiles and headlines both come from it."""
-    return metrics.tally(view, PROFILE)
-
-
-def profiles(tallied: DataFrame) -> DataFrame:
+def profiles(view: DataFrame) -> DataFrame:
     """Hour-of-week shape of each line and direction, pooled over its stops."""
-    return metrics.delay_metrics(tallied, PROFILE)
+    return metrics.delay_metrics(view, PROFILE)
 
 
-def headlines(tallied: DataFrame) -> DataFrame:
+def headlines(view: DataFrame) -> DataFrame:
     """One row per line."""
-    return metrics.delay_metrics(metrics.coarser(tallied, LINE), LINE)
+    return metrics.delay_metrics(view, LINE)
 
 
 def stop_cells(view: DataFrame) -> DataFrame:
     """Per stop and part of day; cells in which nothing was measured are dropped."""
-    return metrics.delay_metrics(metrics.tally(view, CELL), CELL)
+    return metrics.delay_metrics(view, CELL)
 
 
 def stop_totals(view: DataFrame) -> DataFrame:
@@ -53,13 +48,9 @@ def stop_totals(view: DataFrame) -> DataFrame:
 
     Not a sum of cells: stops whose dayparts saw nothing must still count as scheduled.
     """
-    placed = view.groupBy(*STOP, "stop_sequence").agg(
-        F.count(F.lit(1)).alias(metrics.ROWS), F.count("delay_seconds").alias("seen"))
-    return placed.groupBy(*STOP).agg(
-        metrics.quantiles("stop_sequence", [0.5]).alias("levels"),
-        F.sum(metrics.ROWS).alias("scheduled"), F.sum("seen").alias("measured"),
-    ).select(*STOP, F.round(F.get("levels", F.lit(0))).cast("int").alias("seq"),
-             "scheduled", "measured")
+    return view.groupBy(*STOP).agg(
+        F.round(F.percentile("stop_sequence", F.lit(0.5))).cast("int").alias("seq"),
+        F.count(F.lit(1)).alias("scheduled"), F.count("delay_seconds").alias("measured"))
 
 
 def direction_totals(totals: DataFrame) -> DataFrame:

@@ -28,18 +28,21 @@ def _seen_at(source: Column) -> Column:
             .when(source == APPROACH, F.col("last_approach")))
 
 
-def match_arrivals(scheduled: DataFrame, observed: DataFrame,
-                   keys: Sequence[str] = STOP_KEYS) -> DataFrame:
-    """One row per scheduled stop, seen or not, with its delay and where that came from.
+def with_reports(scheduled: DataFrame, observed: DataFrame, keys: Sequence[str] = STOP_KEYS) -> DataFrame:
+    """Every scheduled stop with what was reported there, if anything."""
+    return scheduled.join(observed, list(keys), "left")
+
+
+def timed(joined: DataFrame) -> DataFrame:
+    """Actual time, delay and where they came from, for stops joined with their reports.
 
     An origin's delay is against its departure, while its scheduled_time is the arrival. The
     last two columns are for checking and are not stored.
     """
     source = F.col("source")
     due = F.when(F.col("is_origin"), F.col("scheduled_departure")).otherwise(F.col("scheduled_arrival"))
-    joined = scheduled.join(observed, list(keys), "left").withColumn("source", _evidence())
-    timed = joined.withColumn("seen_at", _seen_at(source))
-    return timed.select(
+    seen = joined.withColumn("source", _evidence()).withColumn("seen_at", _seen_at(source))
+    return seen.select(
         "service_date", "agency", "line", "route_id", "direction_id", "trip_id", "stop_id",
         "stop_sequence",
         F.timestamp_seconds("scheduled_arrival").alias("scheduled_time"),
@@ -50,6 +53,12 @@ def match_arrivals(scheduled: DataFrame, observed: DataFrame,
         "is_origin", "is_terminus", "reported_stop_id", "distinct_stop_ids")
 
 
+def match_arrivals(scheduled: DataFrame, observed: DataFrame,
+                   keys: Sequence[str] = STOP_KEYS) -> DataFrame:
+    """One row per scheduled stop, seen or not."""
+    return timed(with_reports(scheduled, observed, keys))
+
+
 def stored_columns(arrivals: DataFrame) -> DataFrame:
     return arrivals.select(*ARRIVALS.names)
 

@@ -12,6 +12,10 @@ from dwelltime.functions import clock
 KEYS = ["feed", "version", "service_date", "service_id"]
 
 
+def _unbroken(days: Sequence[date]) -> bool:
+    return len(set(days)) > (max(days) - min(days)).days
+
+
 def _patterned(calendar: DataFrame, days: Sequence[date]) -> DataFrame:
     """Calendar rows spread over the wanted days inside their range whose weekday flag is set.
 
@@ -23,7 +27,7 @@ def _patterned(calendar: DataFrame, days: Sequence[date]) -> DataFrame:
     ends = F.least(F.coalesce(clock.service_date(F.col("end_date")), high), high)
     span = F.when(starts <= ends, F.sequence(starts, ends))
     spread = calendar.select("*", F.explode(span).alias("service_date"))
-    if len(set(days)) <= (max(days) - min(days)).days:
+    if not _unbroken(days):
         spread = spread.where(F.col("service_date").isin(list(days)))
     text = clock.compact_date(F.col("service_date"))
     return spread.where(
@@ -33,9 +37,11 @@ def _patterned(calendar: DataFrame, days: Sequence[date]) -> DataFrame:
 
 def _votes(calendar: DataFrame, exceptions: DataFrame, days: Sequence[date]) -> DataFrame:
     """One row per service and day any source mentions: patterned, added, removed."""
-    spelled = [f"{day:%Y%m%d}" for day in days]
-    dated = (exceptions.where(F.col("date").isin(spelled) & F.col("exception_type").isin("1", "2"))
-             .withColumn("service_date", clock.service_date(F.col("date"))))
+    spelled = [f"{day:%Y%m%d}" for day in (sorted(days) if not _unbroken(days) else (min(days), max(days)))]
+    named = F.col("date").between(*spelled) if _unbroken(days) else F.col("date").isin(spelled)
+    dated = (exceptions.where(named & F.col("exception_type").isin("1", "2"))
+             .withColumn("service_date", clock.service_date(F.col("date")))
+             .where(F.col("service_date").isNotNull()))
     mentions = _patterned(calendar, days).select(
         *KEYS, F.lit(True).alias("patterned"), F.lit(False).alias("added"), F.lit(False).alias("removed")
     ).unionByName(dated.select(

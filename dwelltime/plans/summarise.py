@@ -26,11 +26,10 @@ class Summary:
 
 
 def summarise_view(view: DataFrame) -> Summary:
-    """All grains of a rider view. Profiles and headlines share one tally of the rows."""
-    hourly = materialise(grains.hourly_tally(view), "hourly")
+    """All grains of a rider view, each a scan of the columns it needs."""
     return Summary(
-        materialise(grains.profiles(hourly), "profile"),
-        materialise(grains.headlines(hourly), "headlines"),
+        materialise(grains.profiles(view), "profile"),
+        materialise(grains.headlines(view), "headlines"),
         materialise(grains.stop_cells(view), "cells"),
         materialise(grains.stop_totals(view), "totals"),
         materialise(grains.site_totals(view), "site_totals"))
