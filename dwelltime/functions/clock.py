@@ -28,8 +28,13 @@ def gtfs_seconds(clock: Column) -> Column:
 
 
 def service_date(text: Column) -> Column:
-    """A date from `YYYY-MM-DD` or `YYYYMMDD`; anything else gives NULL."""
-    return F.try_to_date(F.regexp_replace(text, "-", ""), "yyyyMMdd")
+    """A date from `YYYY-MM-DD` or `YYYYMMDD`; anything else gives NULL.
+
+    Respelled and cast, which costs a fraction of parsing by pattern on every record.
+    """
+    part = lambda start, size: F.substring(text, start, size)
+    dashed = F.concat(part(1, 4), F.lit("-"), part(5, 2), F.lit("-"), part(7, 2))
+    return (F.when(F.length(text) == 8, dashed).when(F.length(text) == 10, text)).try_cast("date")
 
 
 def compact_date(day: Column) -> Column:

@@ -30,7 +30,7 @@ def take_in(spark: SparkSession, offered: DataFrame, manifest: str, landed: str,
     """Save the offered zips whose tag differs from the newest saved one of their feed.
 
     `offered` has a row per downloaded zip (OFFERED). Changed versions are expanded into the
-    timetable table first and listed in the manifest last, so a listed version is complete.
+    timetable tables first and listed in the manifest last, so a listed version is complete.
     """
     try:
         known = timetables.read_manifest(spark, manifest)
@@ -58,7 +58,7 @@ def take_in(spark: SparkSession, offered: DataFrame, manifest: str, landed: str,
     timetables.land_timetables(named.join(content, "file").select("feed", "version", "content"), landed)
 
     wanted = changed.select("feed", "version")
-    routes = timetables.member(timetables.read_landed(spark, landed), "routes").join(
+    routes = timetables.read_landed(spark, landed)["routes"].join(
         wanted, ["feed", "version"], "left_semi")
     published = materialise(versions.published_lines(routes), "published")
     codes = published.groupBy("feed", "version").agg(F.transform(

@@ -47,8 +47,9 @@ def choose_timetables(members: dict[str, DataFrame], manifest: DataFrame, days:
 
     # A row per feed and day at most, so the versions become a literal partition filter.
     pairs = [(row.feed, row.version) for row in chosen.select("feed", "version").distinct().collect()]
-    kept = F.struct("feed", "version").isin([F.struct(F.lit(f), F.lit(v)) for f, v in pairs])
-    needed = F.col("version").isin([version for _, version in pairs]) & kept
+    needed = F.lit(False)
+    for feed in network.feeds:
+        needed = needed | ((F.col("feed") == feed) & F.col("version").isin([v for f, v in pairs if f == feed]))
     return Timetable({name: frame.where(needed) for name, frame in members.items()},
                      running.join(chosen.select("feed", "version", "service_date"),
                                   ["feed", "version", "service_date"], "left_semi"), chosen)
@@ -103,9 +104,9 @@ def measure_days(spark: SparkSession, observations: DataFrame, members: dict[str
 
 def measure_archive(spark: SparkSession, raw: str, landed: str, manifest: str, days: Sequence[date],
                     out: str, network: Network = LOS_ANGELES, committed_only: bool = False) -> Measured:
-    """`measure_days` from paths: raw archive, timetable table, version manifest."""
+    """`measure_days` from paths: raw archive, timetable tables, version manifest."""
     records = positions.read_positions(spark, raw, days, committed_only=committed_only)
-    members = timetables.members_of(timetables.read_landed(spark, landed))
+    members = timetables.read_landed(spark, landed)
     return measure_days(spark, positions.observations(records, days), members,
                         timetables.read_manifest(spark, manifest), days, out, network)
 

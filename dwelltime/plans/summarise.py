@@ -61,7 +61,7 @@ def summarise(spark: SparkSession, arrivals: str, landed: str, manifest: str, ou
     known = measured_days.first()
     if known is None or not known.days:
         raise ValueError(f"no measured arrivals under {arrivals}")
-    members = timetables.members_of(timetables.read_landed(spark, landed))
+    members = timetables.read_landed(spark, landed)
     timetable = choose_timetables(
         members, timetables.read_manifest(spark, manifest), [known.last_day], network)
     names = {key: materialise(frame, key) for key, frame in labels.catalogue(

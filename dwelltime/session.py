@@ -13,6 +13,12 @@ PLAN_SETTINGS = {
     # Split a skewed join side even where a later step then needs one more exchange.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Archive files are small, gzipped fifteenfold and not splittable; weighing each as this
+    # much keeps a task to a handful of them and leaves large files alone.
+    "spark.sql.files.openCostInBytes": str(16 << 20),
+    # File sizes are compressed sizes; without this a table several times the broadcast
+    # threshold would pass for one below it.
+    "spark.sql.sources.fileCompressionFactor": "4.0",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.sql.execution.arrow.pyspark.enabled": "true",

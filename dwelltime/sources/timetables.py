@@ -1,4 +1,4 @@
-"""Timetables: zips expanded into one Parquet table, unpacked folders, the version manifest."""
+"""Timetables: zips expanded into Parquet tables, unpacked folders, the version manifest."""
 
 from __future__ import annotations
 
@@ -13,10 +13,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from dwelltime import fixed_values as fixed
 from dwelltime.schemas import TIMETABLE_VERSIONS
+from dwelltime.workspace import materialise
 
 MEMBER_ROWS = "feed string, version string, member string, fields array<string>"
 OPTIONAL_FILES = {"calendar_dates.txt", "feed_info.txt"}
 _BATCH = 20_000
+ROWS_PER_FILE = 200_000
 
 
 def read_zips(spark: SparkSession, path: str) -> DataFrame:
@@ -72,29 +74,37 @@ def expand_zips(zips: DataFrame) -> DataFrame:
     return zips.select("feed", "version", "content").mapInPandas(unpack, MEMBER_ROWS)
 
 
-def land_timetables(zips: DataFrame, path: str) -> None:
-    """Add expanded versions to the timetable table; a version already there is replaced whole."""
-    (expand_zips(zips).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .option("compression", "zstd").partitionBy("member", "feed", "version").parquet(path))
-
-
-def member(landed: DataFrame, name: str) -> DataFrame:
+def member(expanded: DataFrame, name: str) -> DataFrame:
     """One member of every version as named text columns, with feed and version.
 
     A member that no version ships is an empty frame.
     """
     columns = fixed.GTFS_COLUMNS[name]
-    return landed.where(F.col("member") == name).select(
+    return expanded.where(F.col("member") == name).select(
         "feed", "version", *[F.get("fields", F.lit(i)).alias(c) for i, c in enumerate(columns)])
 
 
-def read_landed(spark: SparkSession, path: str) -> DataFrame:
-    """The timetable table. Members and versions are partitions, so asking for one reads one."""
-    return spark.read.schema(MEMBER_ROWS).parquet(path)
+def land_timetables(zips: DataFrame, path: str) -> None:
+    """Add versions to the timetable tables, one table a member; a version already there is replaced.
+
+    Zips are opened once. Tables have named columns, so a reader fetches the ones it needs,
+    and files small enough that a big version is read by several tasks.
+    """
+    expanded = materialise(expand_zips(zips), "expanded")
+    for name in fixed.GTFS_COLUMNS:
+        (member(expanded, name).hint("rebalance", "feed", "version").write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", ROWS_PER_FILE)
+         .option("compression", "zstd").partitionBy("feed", "version").parquet(f"{path}/{name}"))
+
 
+def read_landed(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """The timetable tables by member. Feed and version are partitions."""
+    def table(name: str) -> DataFrame:
+        columns = [*fixed.GTFS_COLUMNS[name], "feed", "version"]
+        frame = spark.read.schema(", ".join(f"`{c}` string" for c in columns)).parquet(f"{path}/{name}")
+        return frame.select("feed", "version", *fixed.GTFS_COLUMNS[name])
 
-def members_of(landed: DataFrame) -> dict[str, DataFrame]:
-    return {name: member(landed, name) for name in fixed.GTFS_COLUMNS}
+    return {name: table(name) for name in fixed.GTFS_COLUMNS}
 
 
 def read_folder(spark: SparkSession, path: str, feed: str, version: str) -> dict[str, DataFrame]:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from dwelltime.operators import quality, versions
 from dwelltime.plans import intake, measure, summarise
+from dwelltime.schemas import OBSERVATIONS
 from dwelltime.sinks import sizes
 from dwelltime.sinks.arrivals_table import write_arrivals
 from dwelltime.sources import measured, positions, timetables
@@ -121,10 +122,7 @@ def test_intake_keeps_changed_versions_and_reports_drift(spark, world):
 
 
 def test_zip_expansion_reads_by_name_and_skips_the_rest(spark, world):
-    landed = timetables.read_landed(spark, world["landed"])
-    assert {r.member for r in landed.select("member").distinct().collect()} == {
-        "calendar", "trips", "stop_times", "stops", "routes"}
-    members = timetables.members_of(landed)
+    members = timetables.read_landed(spark, world["landed"])
     assert members["feed_info"].isEmpty() and members["calendar_dates"].isEmpty()
     stop = members["stops"].where("stop_id = 's2'").first()
     assert (stop.stop_name, stop.stop_lat) == ("Stop, 2", " 34.2")
@@ -141,9 +139,8 @@ def test_read_folder_matches_zip(spark, world, tmp_path):
     for name, text in _members("bus").items():
         (tmp_path / name).write_text(text, encoding="utf-8")
     folder = timetables.read_folder(spark, str(tmp_path), "gtfs_bus", "gtfs_bus-2026-08-16-aaaaaaaa")
-    members = timetables.members_of(timetables.read_landed(spark, world["landed"]).where(
-        F.col("version") == "gtfs_bus-2026-08-16-aaaaaaaa"))
-    for name, frame in members.items():
+    for name, frame in timetables.read_landed(spark, world["landed"]).items():
+        frame = frame.where(F.col("version") == "gtfs_bus-2026-08-16-aaaaaaaa")
         assert rows(folder[name]) == rows(frame), name
     both = timetables.join_folders([folder, folder])
     assert both["trips"].count() == 2 * folder["trips"].count()
@@ -229,9 +226,8 @@ def test_rerun_of_one_day_replaces_only_that_day(spark, world, run):
 
 def test_day_without_timetable_is_fatal(spark, world, tmp_path):
     with pytest.raises(measure.NoTimetable, match="gtfs_bus on 2027-01-01"):
-        measure.measure_days(spark, spark.createDataFrame([], positions.observations(
-            positions.read_positions(spark, world["raw"], [DAY])).schema), timetables.members_of(
-            timetables.read_landed(spark, world["landed"])), timetables.read_manifest(spark, world["manifest"]),
+        measure.measure_days(spark, spark.createDataFrame([], OBSERVATIONS),
+            timetables.read_landed(spark, world["landed"]), timetables.read_manifest(spark, world["manifest"]),
             [date(2027, 1, 1)], str(tmp_path / "out"))
 
 
