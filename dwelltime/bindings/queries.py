@@ -103,20 +103,23 @@ def day_span(spark, sf_dir):
 
 # Quality ------------------------------------------------------------------------------
 
-def _report(spark, sf_dir):
+def _report(spark, sf_dir, rows: DataFrame) -> DataFrame:
     return quality.with_ratios(
-        quality.daily_report(star.arrivals(spark, sf_dir)),
-        quality.observation_check(star.observed(spark, sf_dir), star.scheduled(spark, sf_dir)))
+        quality.daily_report(rows), quality.observation_check(star.observed(spark, sf_dir), rows))
+
+
+def _written_arrivals(spark, sf_dir) -> DataFrame:
+    return materialise(star.arrivals(spark, sf_dir), "arrivals")
 
 
 def daily_report(spark, sf_dir):
-    return plain(_round6(_report(spark, sf_dir), *quality.LEVELS, "join_rate", "stop_id_match",
+    return plain(_round6(_report(spark, sf_dir, _written_arrivals(spark, sf_dir)), *quality.LEVELS, "join_rate", "stop_id_match",
                          "coverage", "stopped_pct", "median_delay_min", "absurd_pct", "early_pct"))
 
 
 def agency_report(spark, sf_dir):
     """The report per feed over all days."""
-    return _round6(quality.daily_report(star.arrivals(spark, sf_dir), ["agency"]), *quality.LEVELS)
+    return _round6(quality.daily_report(_written_arrivals(spark, sf_dir), ["agency"]), *quality.LEVELS)
 
 
 def observation_join_check(spark, sf_dir):
@@ -139,10 +142,9 @@ def biggest_silent_lines(spark, sf_dir):
 
 def _quality(spark, sf_dir) -> dict[str, DataFrame]:
     """Report, feed counts, silent lines and checks over one written table of arrivals."""
-    rows = materialise(star.arrivals(spark, sf_dir), "arrivals")
+    rows = _written_arrivals(spark, sf_dir)
     counted = quality.line_counts(rows)
-    report = materialise(quality.with_ratios(
-        quality.daily_report(rows), quality.observation_check(star.observed(spark, sf_dir), rows)), "report")
+    report = materialise(_report(spark, sf_dir, rows), "report")
     agencies, silent = quality.by_agency(counted), quality.silent_lines(counted)
     return {"report": report, "agencies": agencies, "silent": silent,
             "checks": quality.quality_checks(report, agencies, silent)}

@@ -9,6 +9,9 @@ from pyspark.sql import SparkSession
 PLAN_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Shuffle sizes are compressed; keys and counts shrink so far that a megabyte can be half
+    # a million rows.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256KB",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed join side even where a later step then needs one more exchange.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
