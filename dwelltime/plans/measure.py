@@ -38,8 +38,9 @@ def choose_timetables(members: dict[str, DataFrame], manifest: DataFrame, days:
         services.running_services(members["calendar"], members["calendar_dates"], days), "running")
     chosen = materialise(versions.choose_versions(listed, running, network.zone), "chosen")
 
-    wanted = spark.createDataFrame(
-        [(feed, day) for feed in network.feeds for day in days], "feed string, service_date date")
+    literals = lambda values: F.explode(F.array(*[F.lit(value) for value in values]))
+    wanted = spark.range(1).select(literals(network.feeds).alias("feed")).select(
+        "feed", literals(days).alias("service_date"))
     lacking = versions.missing_days(wanted, chosen).orderBy("service_date", "feed").take(20)
     if lacking:
         spelled = ", ".join(f"{row.feed} on {row.service_date}" for row in lacking)
