@@ -4,16 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dwelltime.llm import quality_rules
+from dwelltime.llm import bag_minhash, quality_rules
 from dwelltime.llm.tables import prepare, table
 
 
+def op6_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bag_minhash.classes(table(prepare(spark), sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(prepare(spark), sf_dir, "documents")
     return quality_rules.judge(docs, quality_rules.learn(docs, table(spark, sf_dir, "labels")))
 
 
 QUERIES = {
+    "op6_bag_minhash": op6_bag_minhash,
     "op10_quality_rules": op10_quality_rules,
 }
 
