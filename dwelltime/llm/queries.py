@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dwelltime.llm import bag_minhash, quality_rules
+from dwelltime.llm import bag_minhash, decontaminate, quality_rules
 from dwelltime.llm.tables import prepare, table
 
 
@@ -12,6 +12,11 @@ def op6_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bag_minhash.classes(table(prepare(spark), sf_dir, "documents"))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = table(prepare(spark), sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.matches(docs, benchmark).drop("key")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(prepare(spark), sf_dir, "documents")
     return quality_rules.judge(docs, quality_rules.learn(docs, table(spark, sf_dir, "labels")))
@@ -19,6 +24,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op6_bag_minhash": op6_bag_minhash,
+    "op9_decontamination": op9_decontamination,
     "op10_quality_rules": op10_quality_rules,
 }
 
