@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dwelltime.llm import bag_minhash, decontaminate, quality_rules
+from dwelltime.llm import bag_minhash, decontaminate, personal_data, quality_rules
 from dwelltime.llm.tables import prepare, table
 
 
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.report(table(prepare(spark), sf_dir, "documents"))
+
+
 def op6_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bag_minhash.classes(table(prepare(spark), sf_dir, "documents"))
 
@@ -23,6 +27,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_personal_data": op4_personal_data,
     "op6_bag_minhash": op6_bag_minhash,
     "op9_decontamination": op9_decontamination,
     "op10_quality_rules": op10_quality_rules,
