@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dwelltime.llm import quality_rules
+from dwelltime.llm import bag_minhash, decontaminate, personal_data, quality_rules, sentencepiece
 from dwelltime.llm.tables import keep_table, prepare, table
 
 
@@ -18,7 +18,36 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.filter_quality(docs, rules)
 
 
-STAGES = [("quality rules", quality)]
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near-duplicates stays, that with the smallest doc_id."""
+    prepare(spark)
+    return bag_minhash.one_of_each(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontaminate.clean(docs, table(prepare(spark), sf_dir, "benchmark"))
+
+
+def personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data in the texts is replaced by its kind."""
+    prepare(spark)
+    return personal_data.mask(docs)
+
+
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of every text, with proof that they decode to it."""
+    prepare(spark)
+    return sentencepiece.encode_documents(docs)
+
+
+STAGES = [
+    ("quality rules", quality),
+    ("near-duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("personal data", personal),
+    ("encoding", encoding),
+]
 
 #: Learned rules, sketches and Viterbi paths have no SQL; tests hold the stages against brute force.
 ORACLE_SQL = None

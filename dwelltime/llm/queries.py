@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dwelltime.llm import bag_minhash, decontaminate, personal_data, quality_rules
+from dwelltime.llm import bag_minhash, decontaminate, personal_data, quality_rules, sentencepiece
 from dwelltime.llm.tables import prepare, table
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece.encode_documents(table(prepare(spark), sf_dir, "documents"))
+
+
 def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data.report(table(prepare(spark), sf_dir, "documents"))
 
@@ -27,6 +31,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_sentencepiece": op3_sentencepiece,
     "op4_personal_data": op4_personal_data,
     "op6_bag_minhash": op6_bag_minhash,
     "op9_decontamination": op9_decontamination,
