@@ -47,26 +47,28 @@ def double_array(keys: list[bytes], values: list[int]) -> tuple[np.ndarray, np.n
     size = len(children) * 2 + 1024
     base, check, value = np.zeros(size, np.int32), np.full(size, -1, np.int32), np.full(size, -1, np.int32)
     taken, place = bytearray(size), [0] * len(children)
-    # Where the search goes on, by the smallest byte of a family and whether it has one child: places never get free.
-    hints: dict[tuple[int, bool], int] = {}
+    free, roomy = 1, 1  # where the search for one child's place goes on, and that for places of several
     taken[0] = 1
     for node, below in enumerate(children):  # parents come before their children
         value[place[node]] = leaf[node]
         if not below:
             continue
         first = min(below)
-        family = (first, len(below) == 1)
-        at = max(hints.get(family, 1), first + 1)
+        at = max(free if len(below) == 1 else roomy, first + 1)
         while True:
-            if at + 256 >= len(taken):
-                more = len(taken)
+            at = taken.find(0, at)
+            if at < 0 or at + 256 >= len(taken):
+                at, more = len(taken) if at < 0 else at, len(taken)
                 taken.extend(bytes(more))
                 base, value = np.append(base, np.zeros(more, np.int32)), np.append(value, np.full(more, -1, np.int32))
                 check = np.append(check, np.full(more, -1, np.int32))
-            if not any(taken[at - first + c] for c in below):
+            if len(below) == 1 or not any(taken[at - first + c] for c in below):
                 break
             at += 1
-        hints[family] = at
+        if len(below) > 1:
+            roomy = at
+        elif first < 128:
+            free = at
         base[place[node]] = at - first
         for c, child in below.items():
             place[child] = at - first + c
