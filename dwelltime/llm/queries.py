@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dwelltime.llm import bag_minhash, decontaminate, personal_data, quality_rules, sentencepiece
+from dwelltime.llm import bag_minhash, decontaminate, lm_scoring, personal_data, quality_rules, sentencepiece
 from dwelltime.llm.tables import prepare, table
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(table(prepare(spark), sf_dir, "documents"))
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece.encode_documents(table(prepare(spark), sf_dir, "documents"))
 
@@ -31,6 +35,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_lm_scoring": op2_lm_scoring,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_personal_data": op4_personal_data,
     "op6_bag_minhash": op6_bag_minhash,
