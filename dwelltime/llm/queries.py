@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dwelltime.llm import bag_minhash, decontaminate, lm_scoring, personal_data, quality_rules, sentencepiece
+from dwelltime.llm import bag_minhash, decontaminate, lm_scoring, personal_data, quality_rules, sentencepiece, sharding, warc
 from dwelltime.llm.tables import prepare, table
 
 
@@ -24,6 +24,15 @@ def op6_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bag_minhash.classes(table(prepare(spark), sf_dir, "documents"))
 
 
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(table(prepare(spark), sf_dir, "documents"))
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.capture_index(table(prepare(spark), sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured")
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = table(prepare(spark), sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontaminate.matches(docs, benchmark).drop("key")
@@ -39,8 +48,30 @@ QUERIES = {
     "op3_sentencepiece": op3_sentencepiece,
     "op4_personal_data": op4_personal_data,
     "op6_bag_minhash": op6_bag_minhash,
+    "op7_sharding": op7_sharding,
+    "op8_warc": op8_warc,
     "op9_decontamination": op9_decontamination,
     "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLES: dict[str, str] = {}
+# A shard is the first prefix of a document's hash whose documents fit the limit.
+OP7_SQL = """
+with sized as (
+  select doc_id, coalesce(octet_length(encode(text)), 0)::bigint as n_bytes,
+         ('0x' || substr(md5(coalesce(doc_id::varchar, 'null')), 1, 15))::bigint as bits
+  from documents),
+levels as (
+  select s.*, d.depth, s.bits >> (60 - d.depth) as prefix
+  from sized s cross join (select unnest(range(0, 31))::int as depth) d),
+sums as (select depth, prefix, sum(n_bytes) as held from levels group by all),
+first as (
+  select l.doc_id, l.n_bytes, min(l.depth) as depth
+  from levels l join sums s using (depth, prefix) where s.held <= 1048576 group by all)
+select f.doc_id, f.n_bytes,
+       case when f.depth = 0 then '' else lpad(bin(l.prefix), f.depth, '0') end as shard
+from first f join levels l using (doc_id, depth)
+"""
+
+ORACLES: dict[str, str] = {
+    "op7_sharding": OP7_SQL,
+}
