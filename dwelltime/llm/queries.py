@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dwelltime.llm import bag_minhash, decontaminate, lm_scoring, personal_data, quality_rules, sentencepiece, sharding, warc
+from dwelltime.llm import bag_minhash, compact_windows, decontaminate, lm_scoring, personal_data, quality_rules, sentencepiece, sharding, warc
 from dwelltime.llm.tables import prepare, table
 
 
+def op1_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compact_windows.passages(table(prepare(spark), sf_dir, "documents"))
+
+
 def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score(table(prepare(spark), sf_dir, "documents"))
 
@@ -44,6 +48,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_compact_windows": op1_compact_windows,
     "op2_lm_scoring": op2_lm_scoring,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_personal_data": op4_personal_data,
