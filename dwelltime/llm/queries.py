@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dwelltime.llm import bag_minhash, compact_windows, decontaminate, lm_scoring, personal_data, quality_rules, sentencepiece, sharding, warc
+from dwelltime.llm import bag_minhash, compact_windows, decontaminate, lm_scoring, personal_data, quality_rules, run_length_index, sentencepiece, sharding, warc
 from dwelltime.llm.tables import prepare, table
 
 
@@ -24,6 +24,10 @@ def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data.report(table(prepare(spark), sf_dir, "documents"))
 
 
+def op5_run_length_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_length_index.remove_repeats(table(prepare(spark), sf_dir, "documents"))
+
+
 def op6_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bag_minhash.classes(table(prepare(spark), sf_dir, "documents"))
 
@@ -52,6 +56,7 @@ QUERIES = {
     "op2_lm_scoring": op2_lm_scoring,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_personal_data": op4_personal_data,
+    "op5_run_length_index": op5_run_length_index,
     "op6_bag_minhash": op6_bag_minhash,
     "op7_sharding": op7_sharding,
     "op8_warc": op8_warc,
