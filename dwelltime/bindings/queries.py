@@ -369,7 +369,7 @@ def site_file_sizes(spark, sf_dir):
 # Sources and sinks --------------------------------------------------------------------
 
 def _archive(spark, sf_dir) -> str:
-    """Observations as a gzipped JSON archive, in files opened at the start of each UTC month."""
+    """Observations as a gzipped JSON archive, in files opened at the start of each UTC day."""
     path = fresh_path(spark, "archive")
     vehicle = F.struct(
         F.struct(clock.compact_date(F.col("service_date")).alias("startDate"),
@@ -380,9 +380,7 @@ def _archive(spark, sf_dir) -> str:
     raw = star.observations(spark, sf_dir).select(
         moment.alias("received_at"), "agency",
         F.to_json(F.struct(vehicle.alias("vehicle"))).alias("payload"))
-    placed = landing.enveloped(raw).withColumns(
-        {"dt": F.trunc("dt", "month"), "hh": F.lit("00")})
-    (placed.hint("rebalance", "dt").write.option("compression", "gzip")
+    (landing.enveloped(raw).withColumn("hh", F.lit("00")).hint("rebalance", "dt").write.option("compression", "gzip")
      .partitionBy("dt", "hh").text(path))
     return path
 
@@ -392,22 +390,17 @@ def position_scan(spark, sf_dir):
     return plain(positions.observations(positions.read_positions(spark, _archive(spark, sf_dir))))
 
 
-def _monthly(spark, sf_dir) -> DataFrame:
-    """Arrivals with each service day moved to its month's first, so the table has a partition a month."""
-    return star.arrivals(spark, sf_dir).withColumn("service_date", F.trunc("service_date", "month"))
-
-
 def stored_arrivals(spark, sf_dir):
     """Written by service day and read back."""
     path = fresh_path(spark, "arrivals")
-    write_arrivals(_monthly(spark, sf_dir), path)
+    write_arrivals(star.arrivals(spark, sf_dir), path)
     return plain(measured.read_arrivals(spark, path))
 
 
 def partition_overwrite(spark, sf_dir):
     """The table written, then the rail days of odd years written again: those days are replaced."""
     path = fresh_path(spark, "arrivals")
-    whole = materialise(_monthly(spark, sf_dir), "matched")
+    whole = materialise(star.arrivals(spark, sf_dir), "matched")
     write_arrivals(whole, path)
     write_arrivals(whole.where((F.year("service_date") % 2 == 1) & (F.col("agency") == "RAIL")), path)
     return plain(measured.read_arrivals(spark, path).groupBy("service_date", "agency").agg(
@@ -466,27 +459,40 @@ def landing_stream(spark, sf_dir):
     return plain(landed.groupBy("dt", "hh", "agency").agg(F.count(F.lit(1)).alias("records")))
 
 
-def _streamed_messages(spark, sf_dir):
-    raw = spark.readStream.format("text").option("pathGlobFilter", "*.gz").load(_spool(spark, sf_dir))
+def _streamed_messages(spark, spool):
+    raw = spark.readStream.format("text").option("pathGlobFilter", "*.gz").load(spool)
     return landing.messages(raw)
 
 
+def _received(spark, spool):
+    return landing.messages(spark.read.option("pathGlobFilter", "*.gz").text(spool))
+
+
 def feed_tally_stream(spark, sf_dir):
-    """Closed five-minute windows of the streamed records."""
+    """Five-minute windows of the streamed records: those the stream closed, then those left open at its end."""
     out, checkpoint = fresh_path(spark, "tally"), fresh_path(spark, "tally-state")
-    tallies = alarms.feed_tally(_streamed_messages(spark, sf_dir), "5 minutes", "10 minutes")
+    spool = _spool(spark, sf_dir)
+    tallies = alarms.feed_tally(_streamed_messages(spark, spool), "5 minutes", "10 minutes")
     (tallies.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
      .outputMode("append").trigger(availableNow=True).start().awaitTermination())
-    return plain(spark.read.schema("interval timestamp, agency string, records long").parquet(out))
+    closed = spark.read.schema("interval timestamp, agency string, records long").parquet(out)
+    left = alarms.open_records(_received(spark, spool), closed, "5 minutes")
+    return plain(closed.unionByName(monitoring.interval_tally(left, F.col("received_at"), "5 minutes")))
 
 
 def stalled_feeds_stream(spark, sf_dir):
-    """Alarms raised by the stream over hourly windows."""
+    """Alarms over hourly windows: those the stream raised, then those of the windows left open at its end."""
     out, checkpoint = fresh_path(spark, "alarms"), fresh_path(spark, "alarm-state")
-    tallies = alarms.feed_tally(_streamed_messages(spark, sf_dir), "1 hour", "10 minutes")
+    spool = _spool(spark, sf_dir)
+    tallies = alarms.feed_tally(_streamed_messages(spark, spool), "1 hour", "10 minutes")
     alarms.start_alarms(tallies, out, checkpoint, star.FEED_AGENCIES, once=True).awaitTermination()
     schema = "interval timestamp, agency string, records long, silent int, batch long"
-    return plain(spark.read.schema(schema).parquet(f"{out}/alarms").drop("batch"))
+    raised = spark.read.schema(schema).parquet(f"{out}/alarms").drop("batch")
+    closed = spark.read.schema(alarms.TALLY).parquet(f"{out}/tally").drop("batch")
+    left = alarms.open_records(_received(spark, spool), closed, "1 hour")
+    tally = monitoring.interval_tally(left, F.col("received_at"), "1 hour")
+    return plain(raised.unionByName(monitoring.stalled_feeds(
+        tally, star.FEED_AGENCIES, carried=alarms.last_counters(spark, out))))
 
 
 QUERIES: dict[str, Query] = {

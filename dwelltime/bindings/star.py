@@ -18,7 +18,7 @@ from dwelltime.operators import grains, match, observe, schedule
 from dwelltime.schemas import SCHEDULED
 
 NETWORK = Network(zone="UTC", feeds={"bus": "BUS", "rail": "RAIL"}, rail_agencies=("RAIL",))
-FEED_AGENCIES = ["0", "1", "2", "3", "4"]
+FEED_AGENCIES = [f"{kind}-{n}" for kind in ("click", "error", "purchase", "signup", "view") for n in range(10)]
 
 
 def day_list(first: date, last: date) -> list[date]:
@@ -279,7 +279,7 @@ def feed_info(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def feed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Error events as records received from one of five feeds."""
-    return table(spark, sf_dir, "events").where(F.col("event_type") == "error").select(
-        _instant("ts").alias("received_at"), (F.col("user_id") % 5).cast("string").alias("agency"),
-        "props")
+    """All events as records received from one of fifty feeds, ten a kind of event."""
+    return table(spark, sf_dir, "events").select(
+        _instant("ts").alias("received_at"),
+        F.concat_ws("-", "event_type", (F.col("user_id") % 10).cast("string")).alias("agency"), "props")

@@ -56,8 +56,6 @@ def utc_wall(epoch: Column) -> Column:
 
 def local_wall(epoch: Column, zone: str) -> Column:
     """Epoch seconds as the wall clock of a zone."""
-    if zone == "UTC":
-        return utc_wall(epoch)
     return F.convert_timezone(F.lit("UTC"), F.lit(zone), utc_wall(epoch))
 
 
@@ -66,8 +64,6 @@ def day_base(day: Column, zone: str) -> Column:
 
     That differs from local midnight on the two days a year the clocks change.
     """
-    if zone == "UTC":
-        return F.unix_date(day).cast("bigint") * DAY
     noon = day.cast("timestamp_ntz") + F.expr("INTERVAL 12 HOURS")
     return wall_seconds(F.convert_timezone(F.lit(zone), F.lit("UTC"), noon)) - DAY // 2
 

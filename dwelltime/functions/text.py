@@ -36,12 +36,12 @@ def readable(text: Column) -> Column:
 
 
 def clean_etag(raw: Column) -> Column:
-    """Tags arrive quoted, sometimes behind a weak-comparison prefix; missing is empty."""
+    """The bare tag: no weak mark, no quotes, empty where there is none."""
     return F.regexp_replace(strip(F.coalesce(raw, F.lit(""))), r'^W/|"', "")
 
 
 def natural_order(code: Column) -> list[Column]:
-    """Sort keys that put 2 before 10 before 102."""
+    """Sort keys: shorter codes first, then by character."""
     return [F.length(code), code]
 
 

@@ -16,8 +16,7 @@ def of_versions(member: DataFrame, chosen: DataFrame) -> DataFrame:
 def line_labels(routes: DataFrame, network: Network) -> DataFrame:
     """Label, corridor and mode per line. Of several route rows, the smallest route_id speaks.
 
-    Buses are known by their number and described by a corridor; rail lines leave the number
-    blank and carry a name.
+    Rail takes its long name and no corridor, all others their short name and description.
     """
     agency, rail = network.agency_of(F.col("feed")), network.is_rail(F.col("agency"))
     spoken = F.struct("route_id", "route_short_name", "route_long_name", "route_desc")

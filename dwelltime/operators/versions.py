@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from dwelltime.functions import clock, text
 
@@ -100,10 +100,29 @@ def changed_versions(offered: DataFrame, manifest: DataFrame) -> DataFrame:
     return offered.join(saved, ["feed", "source_etag"], "left_anti")
 
 
-def version_name(feed: Column, day: Column, etag: Column) -> Column:
-    """`<feed>-<date>-<first eight of the tag>`."""
-    tag = F.coalesce(F.nullif(F.substring(etag, 1, 8), F.lit("")), F.lit("noetag"))
-    return F.concat_ws("-", feed, day.cast("string"), tag)
+def new_versions(offered: DataFrame, manifest: DataFrame) -> DataFrame:
+    """Offers worth saving when several of a feed come at once: in order of fetch time, those whose
+    tag differs from the offer before, the first one from the newest saved copy.
+
+    An offer that comes twice counts once. A missing tag proves nothing, so it is always saved.
+    """
+    saved = newest_etags(manifest).select("feed", F.col("source_etag").alias("saved_etag"))
+    order = Window.partitionBy("feed").orderBy("fetched_at", "path")
+    placed = offered.distinct().join(saved, "feed", "left").withColumn(
+        "before", F.coalesce(F.lag("source_etag").over(order), "saved_etag"))
+    return placed.where((F.col("source_etag") == "") | ~F.col("source_etag").eqNullSafe(F.col("before"))).drop(
+        "saved_etag", "before")
+
+
+def version_name(feed: Column, day: Column, etag: Column, content: Column | None = None) -> Column:
+    """`<feed>-<date>-<tag>`, the whole tag; without one the hash of the content stands for it."""
+    spare = F.lit("noetag") if content is None else F.sha2(content, 256)
+    return F.concat_ws("-", feed, day.cast("string"), F.coalesce(F.nullif(etag, F.lit("")), spare))
+
+
+def short_name(version: Column) -> Column:
+    """A version as it is shown: the tag cut to eight characters."""
+    return F.regexp_replace(version, r"^(.*-\d{4}-\d{2}-\d{2}-.{8}).*$", "$1")
 
 
 def published_lines(routes: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from dwelltime.functions import clock, text
@@ -11,7 +12,7 @@ from dwelltime.network import LOS_ANGELES, Network
 from dwelltime.operators import versions
 from dwelltime.schemas import TIMETABLE_VERSIONS
 from dwelltime.sources import timetables
-from dwelltime.workspace import materialise
+from dwelltime.workspace import full_path, materialise
 
 OFFERED = "feed string, etag string, source_url string, fetched_at timestamp, path string"
 
@@ -27,7 +28,7 @@ class Intake:
 
 def take_in(spark: SparkSession, offered: DataFrame, manifest: str, landed: str,
             network: Network = LOS_ANGELES, recorded: DataFrame | None = None) -> Intake:
-    """Save the offered zips whose tag differs from the newest saved one of their feed.
+    """Save the offered zips whose tag differs from the one before of their feed, offered or saved.
 
     `offered` has a row per downloaded zip (OFFERED). Changed versions are expanded into the
     timetable tables first and listed in the manifest last, so a listed version is complete.
@@ -35,27 +36,35 @@ def take_in(spark: SparkSession, offered: DataFrame, manifest: str, landed: str,
     try:
         known = timetables.read_manifest(spark, manifest)
         known.limit(0).count()
-    except Exception as error:
-        if "PATH_NOT_FOUND" not in str(error):
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
             raise
         known = spark.createDataFrame([], TIMETABLE_VERSIONS)
 
     fresh = offered.withColumn("source_etag", text.clean_etag(F.col("etag")))
-    changed = versions.changed_versions(fresh, known).withColumn(
-        "version", versions.version_name(
-            F.col("feed"), clock.utc_day(F.col("fetched_at")), F.col("source_etag")))
-    changed = materialise(changed, "changed")
+    changed = materialise(versions.new_versions(fresh, known), "changed")
 
     # A row per offered feed: this is the list of files to open.
-    paths = [row.path for row in changed.select("path").collect()]
+    paths = {row.path: full_path(spark, row.path) for row in changed.select("path").distinct().collect()}
     if not paths:
         nothing = spark.createDataFrame([], "agency string, line string, change string")
         return Intake(spark.createDataFrame([], TIMETABLE_VERSIONS), nothing)
 
-    content = spark.read.format("binaryFile").load(paths).select(
-        F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), "content")
-    named = changed.withColumn("file", F.regexp_extract("path", r"([^/]+)$", 1))
-    timetables.land_timetables(named.join(content, "file").select("feed", "version", "content"), landed)
+    # Whole paths: files of one name may lie in several folders.
+    content = spark.read.format("binaryFile").load(sorted(set(paths.values()))).select(
+        F.col("path").alias("file"), "content")
+    spelled = spark.createDataFrame(list(paths.items()), "path string, file string")
+    named = changed.join(spelled, "path").join(content, "file", "left").withColumn(
+        "version", versions.version_name(
+            F.col("feed"), clock.utc_day(F.col("fetched_at")), F.col("source_etag"), F.col("content")))
+    named = materialise(named, "named")
+    lacking = [row.path for row in named.where("content IS NULL").select("path").distinct().collect()]
+    if lacking:
+        raise FileNotFoundError(f"offered timetables without content: {lacking}")
+    # A version that is offered again after another one is listed twice and landed once.
+    timetables.land_timetables(
+        named.dropDuplicates(["feed", "version"]).select("feed", "version", "content"), landed)
+    changed = named.drop("content", "file")
 
     wanted = changed.select("feed", "version")
     routes = timetables.read_landed(spark, landed)["routes"].join(

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from dwelltime.functions import clock
 from dwelltime.network import LOS_ANGELES, Network
@@ -17,7 +17,11 @@ from dwelltime.workspace import materialise
 
 
 class NoTimetable(RuntimeError):
-    """A feed and day that no saved version serves."""
+    """Feeds and days that no saved version serves; `days` is the whole table of them."""
+
+    def __init__(self, message: str, days: DataFrame):
+        super().__init__(message)
+        self.days = days
 
 
 @dataclass(frozen=True)
@@ -41,10 +45,12 @@ def choose_timetables(members: dict[str, DataFrame], manifest: DataFrame, days:
     literals = lambda values: F.explode(F.array(*[F.lit(value) for value in values]))
     wanted = spark.range(1).select(literals(network.feeds).alias("feed")).select(
         "feed", literals(days).alias("service_date"))
-    lacking = versions.missing_days(wanted, chosen).orderBy("service_date", "feed").take(20)
-    if lacking:
-        spelled = ", ".join(f"{row.feed} on {row.service_date}" for row in lacking)
-        raise NoTimetable(f"no saved timetable lists any service for {spelled}")
+    lacking = materialise(versions.missing_days(wanted, chosen), "lacking")
+    count = lacking.count()
+    if count:
+        first = lacking.orderBy("service_date", "feed").first()
+        raise NoTimetable(f"no saved timetable lists any service for {count} feeds and days, the first of them "
+                          f"{first.feed} on {first.service_date}", lacking)
 
     # A row per feed and day at most, so the versions become a literal partition filter.
     pairs = [(row.feed, row.version) for row in chosen.select("feed", "version").distinct().collect()]
@@ -68,6 +74,9 @@ class Measured:
     silent: DataFrame
     checks: DataFrame
     coverage: DataFrame
+    passed_over: DataFrame
+    malformed: int = 0
+    quarantined: DataFrame | None = None
 
     def ok(self) -> bool:
         return quality.verdicts(self.checks).where(~F.col("ok")).isEmpty()
@@ -91,25 +100,35 @@ def measure_days(spark: SparkSession, observations: DataFrame, members: dict[str
     observed = materialise(observe.observed_stops(observations), "observed")
     due = schedule.scheduled_stops(
         timetable.members["stop_times"], timetable.members["trips"], timetable.running, network)
-    write_arrivals(match.match_arrivals(due, observed), out)
+    write_arrivals(match.match_arrivals(due, observed), out, days)
 
     arrivals = measured.read_arrivals(spark, out, days)
-    counted = quality.line_counts(arrivals)
+    counted = materialise(quality.line_counts(arrivals), "counted")
     agencies, silent = quality.by_agency(counted), quality.silent_lines(counted)
     report = materialise(quality.with_ratios(
         quality.daily_report(arrivals), quality.observation_check(observed, arrivals)), "report")
     checks = quality.quality_checks(report, agencies, silent, len(network.feeds))
     coverage = versions.coverage_warnings(timetable.chosen, timetable.members["feed_info"])
-    return Measured(arrivals, observed, timetable.chosen, report, agencies, silent, checks, coverage)
+    passed = versions.passed_over(timetables.listed_versions(manifest), timetable.chosen, network.zone)
+    return Measured(arrivals, observed, timetable.chosen, report, agencies, silent, checks, coverage, passed)
 
 
 def measure_archive(spark: SparkSession, raw: str, landed: str, manifest: str, days: Sequence[date],
                     out: str, network: Network = LOS_ANGELES, committed_only: bool = False) -> Measured:
-    """`measure_days` from paths: raw archive, timetable tables, version manifest."""
-    records = positions.read_positions(spark, raw, days, committed_only=committed_only)
+    """`measure_days` from paths: raw archive, timetable tables, version manifest.
+
+    Records that cannot be read are counted in the pass that reads all others; only if there
+    are any, a second pass writes them to the shared folder.
+    """
+    records = positions.read_positions(spark, raw, days, keep_corrupt=True, committed_only=committed_only)
+    seen = Observation("records")
+    watched = records.observe(seen, F.count_if(positions.problem().isNotNull()).alias("malformed"))
     members = timetables.read_landed(spark, landed)
-    return measure_days(spark, positions.observations(records, days), members,
-                        timetables.read_manifest(spark, manifest), days, out, network)
+    run = measure_days(spark, positions.observations(watched, days), members,
+                       timetables.read_manifest(spark, manifest), days, out, network)
+    malformed = seen.get["malformed"]
+    aside = materialise(positions.quarantine(records), "quarantine") if malformed else None
+    return replace(run, malformed=malformed, quarantined=aside)
 
 
 def default_days(network: Network = LOS_ANGELES) -> list[date]:

@@ -11,7 +11,7 @@ from dwelltime.operators import documents, grains, labels
 from dwelltime.plans.measure import choose_timetables
 from dwelltime.sinks import site, sizes
 from dwelltime.sources import measured, timetables
-from dwelltime.workspace import materialise
+from dwelltime.workspace import materialise, remove
 
 
 @dataclass(frozen=True)
@@ -45,6 +45,8 @@ def write_site(summary: Summary, names: dict[str, DataFrame], span: documents.Sp
     site.write_lines(parts, f"{out}/lines")
     if gzip_copy:
         site.write_lines(parts, f"{out}/lines_gzip", "gzip")
+    else:
+        remove(parts.sparkSession, f"{out}/lines_gzip")
     entries = documents.index_entries(summary.heads, summary.profile, directions, names)
     site.write_document(documents.index_document(entries, span), f"{out}/index")
     site.write_document(documents.status_document(summary.site, span), f"{out}/status")

@@ -2,19 +2,27 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from datetime import date
+
 from pyspark.sql import DataFrame
 
 from dwelltime.operators.match import stored_columns
+from dwelltime.workspace import partition_folder, remove
 
 ORDER = ["service_date", "agency", "line", "trip_id", "stop_sequence"]
 
 
-def write_arrivals(arrivals: DataFrame, path: str) -> None:
-    """Replace the days present in `arrivals` and leave every other day alone.
+def write_arrivals(arrivals: DataFrame, path: str, days: Iterable[date] = ()) -> None:
+    """Replace the days present in `arrivals` and the given ones; leave every other day alone.
+
+    A given day without rows ends up empty: its partition is deleted before the write.
 
     Rebalancing sizes the files at run time: an ordinary day is one file, a crowded day is
     split over tasks. Rows are sorted within files, which is what makes them compress.
     """
+    for day in days:
+        remove(arrivals.sparkSession, partition_folder(arrivals.sparkSession, path, service_date=str(day)))
     (stored_columns(arrivals).hint("rebalance", "service_date")
      .sortWithinPartitions(*ORDER)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

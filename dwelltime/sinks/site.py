@@ -1,4 +1,4 @@
-"""The site: replaced whole on every run, so a dropped line stops being served."""
+"""Writing the site's files; each run replaces all of them."""
 
 from __future__ import annotations
 

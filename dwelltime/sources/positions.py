@@ -101,16 +101,21 @@ def observations(positions: DataFrame, service_dates: Iterable[date] | None = No
         & F.col("stop_sequence").isNotNull() & F.col("ts").isNotNull())
 
 
-def quarantine(positions: DataFrame) -> DataFrame:
-    """Lines that are no JSON, and records with a number or date that cannot be read."""
+def problem() -> Column:
+    """What keeps a record from being read, NULL for a good one."""
     unread = lambda text, value: text.isNotNull() & value.isNull()
     day, sequence, stamp = (_leaf(p) for p in ("trip.startDate", "currentStopSequence", "timestamp"))
-    reason = (
+    return (
         F.when(F.col(CORRUPT).isNotNull(), "not JSON")
         .when(unread(day, clock.service_date(day)), "bad startDate")
         .when(unread(sequence, _whole(sequence, "int")), "bad currentStopSequence")
         .when(unread(stamp, _whole(stamp, "bigint")), "bad timestamp"))
-    return (positions.withColumn("reason", reason).where("reason IS NOT NULL")
+
+
+def quarantine(positions: DataFrame) -> DataFrame:
+    """Lines that are no JSON, and records with a number or date that cannot be read."""
+    day, sequence, stamp = (_leaf(p) for p in ("trip.startDate", "currentStopSequence", "timestamp"))
+    return (positions.withColumn("reason", problem()).where("reason IS NOT NULL")
             .select("dt", "hh", "agency", "reason", F.col(CORRUPT).alias("line"),
                     day.alias("start_date"), sequence.alias("sequence"), stamp.alias("stamp")))
 

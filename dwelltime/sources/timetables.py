@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from dwelltime import fixed_values as fixed
 from dwelltime.schemas import TIMETABLE_VERSIONS
-from dwelltime.workspace import materialise
+from dwelltime.workspace import materialise, partition_folder, remove
 
 MEMBER_ROWS = "feed string, version string, member string, fields array<string>"
 OPTIONAL_FILES = {"calendar_dates.txt", "feed_info.txt"}
@@ -90,8 +90,13 @@ def land_timetables(zips: DataFrame, path: str) -> None:
     Zips are opened once. Tables have named columns, so a reader fetches the ones it needs,
     and files small enough that a big version is read by several tasks.
     """
+    spark = zips.sparkSession
     expanded = materialise(expand_zips(zips), "expanded")
+    # A row per landed version: also a member that the new copy lacks must not outlive the old one.
+    landed = [(row.feed, row.version) for row in zips.select("feed", "version").distinct().collect()]
     for name in fixed.GTFS_COLUMNS:
+        for feed, version in landed:
+            remove(spark, partition_folder(spark, f"{path}/{name}", feed=feed, version=version))
         (member(expanded, name).hint("rebalance", "feed", "version").write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", ROWS_PER_FILE)
          .option("compression", "zstd").partitionBy("feed", "version").parquet(f"{path}/{name}"))

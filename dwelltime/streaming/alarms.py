@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -21,13 +22,30 @@ def feed_tally(received: DataFrame, interval: str = f"{fixed.INTERVAL_MINUTES} m
     return monitoring.interval_tally(watched, F.col("received_at"), interval)
 
 
+def open_records(received: DataFrame, closed: DataFrame, interval: str) -> DataFrame:
+    """The (received_at, agency) records of intervals the watermark hasn't closed, of a batch read.
+
+    Where a stream is stopped for good, their tally completes what it has emitted.
+    """
+    last = closed.agg(F.max("interval").alias("last"))
+    after = F.col("last").isNull() | (F.col("received_at") >= F.col("last") + F.expr(f"INTERVAL {interval}"))
+    return received.join(F.broadcast(last)).where(after).drop("last")
+
+
+def last_counters(spark: SparkSession, out: str) -> DataFrame:
+    """Each feed's counter as the newest batch of `start_alarms` left it."""
+    every = spark.read.schema(COUNTERS).parquet(f"{out}/counters")
+    return every.join(F.broadcast(every.agg(F.max("batch").alias("batch"))), "batch").drop("batch")
+
+
 def _batch(spark: SparkSession, path: str, schema: str, batch: int) -> DataFrame:
     """What an earlier batch left, by partition; empty if there is none."""
     kept = spark.read.schema(schema).option("ignoreMissingFiles", "true")
     try:
-        return kept.parquet(path).where(F.col("batch") == batch).drop("batch")
-    except Exception as error:
-        if "PATH_NOT_FOUND" not in str(error):
+        # The batch's own folder: the table's root gets a partition a batch for ever.
+        return kept.parquet(f"{path}/batch={batch}").drop("batch")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema).drop("batch")
 

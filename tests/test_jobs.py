@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
+from dwelltime import workspace
 from dwelltime.operators import quality, versions
 from dwelltime.plans import intake, measure, summarise
 from dwelltime.schemas import OBSERVATIONS
@@ -109,8 +110,8 @@ def world(tmp_path_factory, spark):
 
 def test_intake_keeps_changed_versions_and_reports_drift(spark, world):
     assert rows(world["first"].saved, "version") == [
-        ("gtfs_bus-2026-08-16-aaaaaaaa",), ("gtfs_rail-2026-08-16-rrrrrrrr",)]
-    assert rows(world["second"].saved, "version") == [("gtfs_bus-2026-08-17-bbbbbbbb",)]
+        ("gtfs_bus-2026-08-16-aaaaaaaa11",), ("gtfs_rail-2026-08-16-rrrrrrrr11",)]
+    assert rows(world["second"].saved, "version") == [("gtfs_bus-2026-08-17-bbbbbbbb11",)]
     assert world["first"].saved.where("feed = 'gtfs_bus'").first().route_codes == ["2", "720"]
     assert world["first"].drifted()
     gone = world["first"].drift
@@ -121,6 +122,56 @@ def test_intake_keeps_changed_versions_and_reports_drift(spark, world):
     assert again.saved.isEmpty() and not again.drifted()
 
 
+def _offer(root, kind, folder, name, tag, day):
+    (root / folder).mkdir(exist_ok=True)
+    _zip(root / folder / name, _members(kind))
+    return (f"gtfs_{kind}", tag, "u", datetime(2026, 8, day, 12, tzinfo=timezone.utc), str(root / folder / name))
+
+
+def test_files_of_one_name_keep_their_feeds_apart(spark, tmp_path):
+    offers = [_offer(tmp_path, "bus", "bus", "gtfs.zip", "b1", 16), _offer(tmp_path, "rail", "rail", "gtfs.zip", "r1", 16)]
+    landed = str(tmp_path / "landed")
+    intake.take_in(spark, spark.createDataFrame(offers, intake.OFFERED), str(tmp_path / "manifest"), landed)
+    trips = timetables.read_landed(spark, landed)["trips"]
+    assert rows(trips.select("feed", "route_id").distinct()) == [
+        ("gtfs_bus", "2-1"), ("gtfs_bus", "720-1"), ("gtfs_rail", "801")]
+
+
+def test_offers_of_one_call_are_taken_in_order(spark, tmp_path):
+    one = _offer(tmp_path, "bus", "a", "bus.zip", "t1", 16)
+    offers = [one, one, _offer(tmp_path, "bus", "b", "bus.zip", "t1", 17), _offer(tmp_path, "bus", "c", "bus.zip", "t2-longer-tag", 18),
+              _offer(tmp_path, "bus", "d", "bus.zip", "t1", 19), _offer(tmp_path, "bus", "e", "bus.zip", "", 19)]
+    manifest, landed = str(tmp_path / "manifest"), str(tmp_path / "landed")
+    saved = intake.take_in(spark, spark.createDataFrame(offers, intake.OFFERED), manifest, landed).saved
+    names = [r.version for r in saved.orderBy("fetched_at", "version").collect()]
+    assert names[:2] == ["gtfs_bus-2026-08-16-t1", "gtfs_bus-2026-08-18-t2-longer-tag"]
+    assert len(names) == 4 and len(set(names)) == 4 and "gtfs_bus-2026-08-19-t1" in names
+    trips = timetables.read_landed(spark, landed)["trips"]
+    assert trips.groupBy("version").count().select("count").distinct().collect()[0][0] == 4
+    assert timetables.read_manifest(spark, manifest).count() == 4
+
+
+def test_an_empty_rerun_empties_the_day(spark, tmp_path, run):
+    out = str(tmp_path / "again")
+    write_arrivals(run.arrivals.select("*", F.lit(None).alias("x")), out, [DAY, NEXT])
+    write_arrivals(run.arrivals.where("false").select("*", F.lit(None).alias("x")), out, [DAY])
+    assert rows(measured.read_arrivals(spark, out).select("service_date").distinct()) == [(NEXT,)]
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Context:
+        master = "spark://host:7077"
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        workspace.shared_folder(Session())
+
+
 def test_zip_expansion_reads_by_name_and_skips_the_rest(spark, world):
     members = timetables.read_landed(spark, world["landed"])
     assert members["feed_info"].isEmpty() and members["calendar_dates"].isEmpty()
@@ -138,9 +189,9 @@ def test_zip_without_calendar_is_an_error(spark, tmp_path):
 def test_read_folder_matches_zip(spark, world, tmp_path):
     for name, text in _members("bus").items():
         (tmp_path / name).write_text(text, encoding="utf-8")
-    folder = timetables.read_folder(spark, str(tmp_path), "gtfs_bus", "gtfs_bus-2026-08-16-aaaaaaaa")
+    folder = timetables.read_folder(spark, str(tmp_path), "gtfs_bus", "gtfs_bus-2026-08-16-aaaaaaaa11")
     for name, frame in timetables.read_landed(spark, world["landed"]).items():
-        frame = frame.where(F.col("version") == "gtfs_bus-2026-08-16-aaaaaaaa")
+        frame = frame.where(F.col("version") == "gtfs_bus-2026-08-16-aaaaaaaa11")
         assert rows(folder[name]) == rows(frame), name
     both = timetables.join_folders([folder, folder])
     assert both["trips"].count() == 2 * folder["trips"].count()
@@ -192,10 +243,10 @@ def run(spark, world):
 def test_measure_days(spark, world, run):
     # The bus version saved on the 17th lists no service in August, so the older one stands.
     assert rows(run.chosen, "feed", "version") == [
-        ("gtfs_bus", "gtfs_bus-2026-08-16-aaaaaaaa")] * 2 + [("gtfs_rail", "gtfs_rail-2026-08-16-rrrrrrrr")] * 2
+        ("gtfs_bus", "gtfs_bus-2026-08-16-aaaaaaaa11")] * 2 + [("gtfs_rail", "gtfs_rail-2026-08-16-rrrrrrrr11")] * 2
     listed = timetables.listed_versions(timetables.read_manifest(spark, world["manifest"]))
     assert rows(versions.passed_over(listed, run.chosen, "America/Los_Angeles"), "version") == [
-        ("gtfs_bus-2026-08-17-bbbbbbbb",)] * 2
+        ("gtfs_bus-2026-08-17-bbbbbbbb11",)] * 2
     got = rows(run.arrivals.where(F.col("service_date") == DAY), "line", "trip_id", "stop_sequence", "source", "delay_seconds")
     expected = []
     for route, _ in LINES:
@@ -210,7 +261,10 @@ def test_measure_days(spark, world, run):
     report = {r.service_date: r for r in run.report.collect()}
     assert (report[DAY].observations, report[DAY].joined, report[NEXT].join_rate) == (23, 22, 100.0)
     assert not run.ok()
-    assert any("scheduled stops" in r.text for r in run.text().collect())
+    assert any("scheduled_stops=" in r.text for r in run.text().collect())
+    # The broken line is counted in the pass over the archive and kept beside.
+    assert run.malformed == 1 and rows(run.quarantined, "reason", "line") == [("not JSON", "{broken")]
+    assert rows(run.passed_over, "version") == [("gtfs_bus-2026-08-17-bbbbbbbb11",)] * 2
     assert {r.covers for r in run.coverage.collect()} == {None}
 
 
@@ -271,3 +325,4 @@ def test_vanished_lines_leave_the_site(spark, world, run, tmp_path):
     out = world["root"] / "site"
     summarise.summarise(spark, again, world["landed"], world["manifest"], str(out), gzip_copy=False)
     assert set(_site_files(out)) == {("LACMTA", "720"), ("LACMTA_Rail", "801")}
+    assert not (out / "lines_gzip").exists()  # no older copy outlives the run

@@ -237,9 +237,9 @@ def test_quality(matched):
     assert failed == {"join_rate", "stopped_pct", "ambiguous", "silent"}
     assert not quality.verdicts(checks).first().ok
     lines = [r.text for r in quality.report_text(report, agencies, checks, silent).orderBy("section", "item").collect()]
-    assert "2026-08-18: 1 lines, 1 trips, 6 scheduled stops" in lines
-    assert any(line.startswith("delay mid-route: median +1.0 | p75") for line in lines)
-    assert "B 7: 1 scheduled stops, nothing observed" in lines
+    assert "scheduled_stops=6 measured=4 stopped=1 approached=2 terminus_approach=1 lines=1 trips=1" in lines
+    assert any(line.startswith("median_delay=60 p75=") for line in lines)
+    assert "OUTSIDE 99.9..100.0 80.00" in lines and "B 7 scheduled_stops=1" in lines
 
 
 def test_report_without_any_delay(matched):
