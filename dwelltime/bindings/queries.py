@@ -390,6 +390,71 @@ def position_scan(spark, sf_dir):
     return plain(positions.observations(positions.read_positions(spark, _archive(spark, sf_dir))))
 
 
+def _damaged_archive(spark, sf_dir) -> str:
+    """Events as archive lines, by UTC day: some no JSON, some with a sequence, time or day that is none."""
+    key = F.col("event_id") % 9
+    moment = star._instant("ts")
+    trip = F.struct(F.when(key == 4, "2024-13-45").otherwise(clock.compact_date(F.col("ts").cast("date"))).alias("startDate"),
+                    F.col("user_id").cast("string").alias("tripId"))
+    vehicle = F.struct(
+        trip.alias("trip"), F.lit("STOPPED_AT").alias("currentStatus"),
+        F.when(key == 2, "four").otherwise((F.col("event_id") % 40).cast("string")).alias("currentStopSequence"),
+        F.col("event_type").alias("stopId"),
+        F.when(key == 3, "soon").otherwise(F.unix_seconds(moment).cast("string")).alias("timestamp"))
+    payload = F.to_json(F.struct(vehicle.alias("vehicle")))
+    raw = star.table(spark, sf_dir, "events").select(
+        moment.alias("received_at"), F.col("event_type").alias("agency"),
+        F.when(key == 1, F.concat(F.lit("{"), payload)).otherwise(payload).alias("payload"))
+    path = fresh_path(spark, "archive")
+    (landing.enveloped(raw).withColumn("hh", F.lit("00")).hint("rebalance", "dt")
+     .write.option("compression", "gzip").partitionBy("dt", "hh").text(path))
+    return path
+
+
+def position_quarantine(spark, sf_dir):
+    """What of a damaged archive cannot be read, counted by day and reason."""
+    records = positions.read_positions(spark, _damaged_archive(spark, sf_dir), keep_corrupt=True)
+    return plain(positions.quarantine(records).groupBy("dt", "reason").agg(F.count(F.lit(1)).alias("records")))
+
+
+def file_tally(spark, sf_dir):
+    """Records per feed over all files of the archive; lines that are no JSON name none."""
+    tally = positions.file_tally(positions.read_positions(spark, _damaged_archive(spark, sf_dir)))
+    return tally.groupBy("agency").agg(F.sum("records").alias("records"), F.bool_and(
+        F.col("file_name").endswith(".gz")).alias("archive_files"))
+
+
+def archive_pruning(spark, sf_dir):
+    """Records of two service days, read from the UTC days next to them only."""
+    from datetime import date
+
+    days = [date(2024, 1, 9), date(2024, 1, 20)]
+    records = positions.read_positions(spark, _damaged_archive(spark, sf_dir), days)
+    seen = positions.observations(records, days).join(records.select("dt").distinct().agg(
+        F.count(F.lit(1)).alias("partitions")))
+    return plain(seen.groupBy("service_date", "partitions").agg(
+        F.count(F.lit(1)).alias("records"), F.sum("stop_sequence").alias("sequences")))
+
+
+def listed_versions(spark, sf_dir):
+    """Events as saves of some two hundred versions a feed; the newest save of each is listed."""
+    saves = star.table(spark, sf_dir, "events").select(
+        star._event_feed().alias("feed"), F.concat(F.lit("v"), F.col("event_id") % 401).alias("version"),
+        F.get_json_object("props", "$.k").alias("source_etag"), F.col("event_type").alias("source_url"),
+        F.when(F.col("event_id") % 3 != 0, star._instant("ts")).alias("fetched_at"),
+        star._instant("ts").alias("updated_at"), F.array("event_type").alias("route_codes"),
+        F.col("event_id").cast("string").alias("path"))
+    return plain(timetables.listed_versions(saves).drop("route_codes"))
+
+
+def largest_document(spark, sf_dir):
+    """Writes the line files; how many, how large, and the largest."""
+    _, profile, names, stops, directions, span = _documents(spark, sf_dir)
+    path = fresh_path(spark, "lines")
+    site.write_lines(documents.line_parts(profile, stops, directions, names, span), path)
+    return sizes.largest_document(sizes.document_sizes(spark, path))
+
+
 def stored_arrivals(spark, sf_dir):
     """Written by service day and read back."""
     path = fresh_path(spark, "arrivals")
@@ -506,5 +571,6 @@ QUERIES: dict[str, Query] = {
         changed_versions, line_drift, feed_tally, stalled_feeds, natural_order, gtfs_clock, json_path,
         clock_functions, text_functions, site_stops, site_line_parts, site_index, site_status,
         site_file_sizes, position_scan, stored_arrivals, partition_overwrite, zip_members,
+        position_quarantine, file_tally, archive_pruning, listed_versions, largest_document,
         landing_stream, feed_tally_stream, stalled_feeds_stream)
 }
