@@ -37,7 +37,9 @@ def summarise_view(view: DataFrame) -> Summary:
 
 def write_site(summary: Summary, names: dict[str, DataFrame], span: documents.Span, out: str,
                gzip_copy: bool = False) -> None:
-    """Line files, index and status under `out`; everything there before is replaced."""
+    """Line files, index and status under `out`, built beside it and switched in: nothing from before stays."""
+    spark, target, out = summary.totals.sparkSession, out.rstrip("/"), f"{out.rstrip('/')}-building"
+    remove(spark, out)
     stops = materialise(documents.stop_entries(summary.totals, summary.cells, names["stops"]), "stops")
     directions = materialise(
         documents.direction_entries(summary.profile, stops, names["directions"]), "directions")
@@ -45,11 +47,10 @@ def write_site(summary: Summary, names: dict[str, DataFrame], span: documents.Sp
     site.write_lines(parts, f"{out}/lines")
     if gzip_copy:
         site.write_lines(parts, f"{out}/lines_gzip", "gzip")
-    else:
-        remove(parts.sparkSession, f"{out}/lines_gzip")
     entries = documents.index_entries(summary.heads, summary.profile, directions, names)
     site.write_document(documents.index_document(entries, span), f"{out}/index")
     site.write_document(documents.status_document(summary.site, span), f"{out}/status")
+    site.publish(spark, out, target)
 
 
 def summarise(spark: SparkSession, arrivals: str, landed: str, manifest: str, out: str,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from dwelltime.operators.documents import PART_ORDER
 
@@ -23,3 +23,39 @@ def write_lines(parts: DataFrame, path: str, compression: str = "none") -> None:
 def write_document(document: DataFrame, path: str) -> None:
     """A one-row document as one file."""
     document.select("document").coalesce(1).write.mode("overwrite").text(path)
+
+
+def _part(files, folder):
+    """The one data file of a folder a writer has filled."""
+    found = [entry.getPath() for entry in files.listStatus(folder) if entry.getPath().getName().startswith("part-")]
+    if len(found) != 1:
+        raise RuntimeError(f"{folder} holds {len(found)} files where one was written")
+    return found[0]
+
+
+def publish(spark: SparkSession, built: str, out: str) -> None:
+    """Give the files under `built` their addresses and switch them in for `out`.
+
+    lines/<agency>/<line>.json, lines_gzip/<agency>/<line>.json.gz, index.json and status.json.
+    There is a file a line, so the renames are few; whatever was under `out` goes.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(built).getFileSystem(spark._jsc.hadoopConfiguration())
+    ready = f"{built}-ready"
+    files.mkdirs(path(ready))
+    for tree, ending in (("lines", ".json"), ("lines_gzip", ".json.gz")):
+        if not files.exists(path(f"{built}/{tree}")):
+            continue
+        for agency in files.globStatus(path(f"{built}/{tree}/agency=*")):
+            target = f"{ready}/{tree}/{agency.getPath().getName().partition('=')[2]}"
+            files.mkdirs(path(target))
+            for line in files.globStatus(path(agency.getPath(), "line=*")):
+                name = line.getPath().getName().partition("=")[2]
+                files.rename(_part(files, line.getPath()), path(f"{target}/{name}{ending}"))
+    for name in ("index", "status"):
+        files.rename(_part(files, path(f"{built}/{name}")), path(f"{ready}/{name}.json"))
+    files.delete(path(out), True)
+    files.mkdirs(path(out).getParent())
+    if not files.rename(path(ready), path(out)):
+        raise RuntimeError(f"{ready} could not be moved to {out}")
+    files.delete(path(built), True)

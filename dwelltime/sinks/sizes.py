@@ -19,11 +19,13 @@ def table_size(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:
     ).withColumn("bytes_per_row", F.col("bytes") / F.nullif(F.col("rows"), F.lit(0)))
 
 
-def document_sizes(spark: SparkSession, path: str, pattern: str = "*.txt*") -> DataFrame:
-    """Bytes per line file; a gzip copy of the site gives gzip sizes."""
-    part = lambda key: F.regexp_extract("path", f"/{key}=([^/]+)/", 1)
+def document_sizes(spark: SparkSession, path: str, pattern: str = "{*.txt*,*.json*}") -> DataFrame:
+    """Bytes per line file, of a published site or of the parts it is built from; a gzip copy gives gzip sizes."""
+    part = lambda group: F.url_decode(F.replace(F.regexp_extract(
+        "path", r"/(?:agency=)?([^/]+)/(?:line=)?([^/]+?)(?:/part-[^/]*|[.]json(?:[.]gz)?)$", group),
+        F.lit("+"), F.lit("%2B")))
     return (file_sizes(spark, path, pattern)
-            .groupBy(part("agency").alias("agency"), part("line").alias("line"))
+            .groupBy(part(1).alias("agency"), part(2).alias("line"))
             .agg(F.sum("length").alias("bytes")))
 
 
