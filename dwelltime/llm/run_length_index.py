@@ -151,7 +151,13 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def suffix_array(symbols: np.ndarray, depth: int) -> np.ndarray:
     """Positions in order of the suffixes' first depth symbols at least, by prefix doubling."""
-    n, rank, width = len(symbols), symbols.astype(np.int64), 1
+    # As many symbols as fit a word are ranked at once, then twice as many every round.
+    n, bits = len(symbols), int(symbols.max() + 1).bit_length()
+    width = min(62 // bits, n)
+    rank = np.zeros(n, np.int64)
+    for k in range(width):
+        rank[:n - k] |= (symbols[k:] + 1) << (bits * (width - 1 - k))
+    _, rank = np.unique(rank, return_inverse=True)
     while True:
         following = np.zeros(n, np.int64)
         following[:n - width] = rank[width:] + 1
@@ -225,8 +231,12 @@ COVER = "doc long, lo int, hi int, code long"
 
 
 def _covers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Contexts in order of f: blocks of whole anchors are indexed; crowded anchors give hashes of their strings."""
+    """Contexts in order of f and themselves: blocks of whole anchors are indexed, crowded ones give string hashes.
+
+    Equal contexts of an anchor at several places are repeated as a whole; one of them stands for all in the index.
+    """
     group: list = []
+    whole: list = []
     block: list = []
     size, current, crowded = 0, None, False
 
@@ -249,18 +259,30 @@ def _covers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns = [batch.column(k) for k in ("f", "doc", "at", "context")]
         for f, doc, at, context in zip(*[c.to_pylist() for c in columns], strict=True):
             if f != current:
-                if not crowded and len(group) > 1:
+                if crowded:
+                    yield from strings(group)
+                elif len(group) > 1:
                     block += group
                     size += sum(len(x[2]) for x in group)
                     if size >= BLOCK:
                         yield flush()
                         block, size = [], 0
                 current, group, crowded = f, [], False
+            if group and group[-1][2] == context:
+                if group[-1][:2] != (doc, at):
+                    whole += [(*group[-1][:2], len(context)), (doc, at, len(context))]
+                continue
             group.append((doc, at, context))
             if len(group) >= CROWD or crowded:
-                yield from strings(group)
-                group, crowded = [], True
-    if not crowded and len(group) > 1:
+                yield from strings(group[:-1] if group else [])
+                group, crowded = group[-1:], True
+        if whole:
+            doc, at, length = np.array(sorted(set(whole))).T
+            yield rows(doc, at, at + length)
+            whole = []
+    if crowded:
+        yield from strings(group)
+    elif len(group) > 1:
         block += group
     if block:
         yield flush()
@@ -308,7 +330,7 @@ def covers(docs: DataFrame) -> DataFrame:
     lists = repeated.groupBy("doc").agg(F.collect_set(F.struct("at", "f")).alias("anchors"))
     cut = (named.join(lists, "doc").select("doc", "text", "anchors")
            .mapInArrow(_contexts, "f long, doc long, at int, context binary"))
-    spans = keep_table(cut.repartition("f").sortWithinPartitions("f").mapInArrow(_covers, COVER), "covers")
+    spans = keep_table(cut.repartition("f").sortWithinPartitions("f", "context").mapInArrow(_covers, COVER), "covers")
     strings = spans.where("code is not null").distinct()
     twice = strings.groupBy("code").agg(F.count("*").alias("n")).where("n > 1").select("code")
     return (spans.where("code is null").select("doc", "lo", "hi")

@@ -190,7 +190,7 @@ def test_crowded_anchors_give_the_same_covers(repetitive, monkeypatch):
         place, f = run_length_index.anchors(np.array([0, len(b)]), data)
         found += [(int(g), i, max(int(p) - 100, 0), b[max(int(p) - 100, 0):int(p) + 200])
                   for p, g in zip(place, f.view(np.int64), strict=True)]
-    found.sort()
+    found.sort(key=lambda x: (x[0], x[3]))
     batch = pa.RecordBatch.from_arrays(
         [pa.array(x, k) for x, k in zip(zip(*found, strict=True), (pa.int64(), pa.int64(), pa.int32(), pa.binary()),
                                         strict=True)], ["f", "doc", "at", "context"])
