@@ -245,3 +245,59 @@ def test_every_fingerprint_within_the_radius_shares_a_near_block():
         for bit in rng.sample(range(64), decontaminate.RADIUS):
             b ^= 1 << bit
         assert any(((a ^ b) >> (8 * k) & 255).bit_count() <= decontaminate.SLACK for k in range(decontaminate.BLOCKS))
+
+
+def _verify(left, right):
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([1]), pa.array([0], pa.int32()), pa.array([left]), pa.array([2]), pa.array([0], pa.int32()),
+         pa.array([right]), pa.array([False])], ["doc_id", "lo", "passage", "other_id", "other_lo", "other", "same"])
+    return [r for part in compact_windows._verify(0.8)(iter([batch])) for r in part.to_pylist()]
+
+
+def test_one_changed_word_anywhere_keeps_a_passage(prose):
+    """Brute force over all aligned intervals: one edit at each position of 50 to 100 words."""
+    for n in range(50, 101, 10):
+        passage = prose(n, n, 10**6).split()
+        for k in range(n):
+            other = passage[:k] + ["changed"] + passage[k + 1:]
+            left, right = (" ".join([prose(s, 15, 10**6), *p, prose(s + 1, 15, 10**6)])
+                           for s, p in ((1, passage), (5, other)))
+            a, b = left.split(), right.split()
+            found = _verify(left, right)
+            assert len(found) == 1, (n, k)
+            (r,) = found
+            texts = (a[r["start_word"]:r["end_word"]], b[r["other_start"]:r["other_end"]])
+            assert min(map(len, texts)) >= 50
+            assert r["similarity"] == similarity(*(bag(" ".join(t)) for t in texts)) >= 0.8
+            if k % 24 == 0:
+                alike = [(i, j) for i in range(len(a) - 49) for j in range(i + 50, len(a) + 1)
+                         if similarity(bag(" ".join(a[i:j])), bag(" ".join(b[i:j]))) >= 0.8]
+                shared = {i for i in range(len(a) - 4) if tuple(a[i:i + 5]) in bag(right)}
+                inside = {p for i, j in alike for p in range(i, j - 4)} & shared
+                assert inside and inside <= set(range(r["start_word"], r["end_word"] - 4))
+
+
+def test_all_passages_of_a_region_are_given(prose):
+    """Two passages with a gap, irregular edits, words put in and left out, and halves in swapped order."""
+    one, two = prose(41, 70, 10**6), prose(42, 80, 10**6)
+    found = _verify(f"{one} {prose(43, 45, 10**6)} {two}", f"{edited(one, 1, 1)} {prose(44, 45, 10**6)} {two}")
+    assert len(found) == 2 and {r["end_word"] - r["start_word"] for r in found} <= set(range(65, 81))
+    swapped = _verify(f"{one} {two}", f"{two} {one}")
+    assert {(r["start_word"], r["end_word"]) for r in swapped} >= {(0, 150)}
+    words = prose(45, 300, 10**6).split()
+    other = words[:60] + ["more"] + words[60:130] + words[131:220] + ["and", "more"] + words[220:]
+    (r,) = _verify(" ".join(words), " ".join(other))
+    assert (r["start_word"], r["end_word"]) == (0, 300) and r["similarity"] == similarity(
+        bag(" ".join(words)), bag(" ".join(other)))
+
+
+def test_an_edited_passage_in_two_texts_is_found(corpus, prose):
+    rows, pairs = [], []
+    for k in range(40):
+        passage = prose(500 + k, 80, 10**6).split()
+        other = passage[:10 + k] + ["changed"] + passage[11 + k:]
+        rows += [(2 * k, f"{prose(600 + k, 40)} {' '.join(passage)} {prose(700 + k, 40)}"),
+                 (2 * k + 1, f"{prose(800 + k, 30)} {' '.join(other)} {prose(900 + k, 50)}")]
+        pairs.append({2 * k, 2 * k + 1})
+    hit = [{r.doc_id, r.other_id} for r in compact_windows.passages(corpus(rows)).collect()]
+    assert sum(p in hit for p in pairs) >= 39 and all(p in pairs for p in hit)
