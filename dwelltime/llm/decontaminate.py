@@ -1,7 +1,7 @@
 """Benchmark decontamination: SimHash of item-sized windows, multi-index Hamming blocks, exact verification.
 
-A window has as many words as the benchmark item it is held against, and starts wherever a five-word shingle of the
-item falls into place; windows that share no shingle have similarity 0 and are never made. Window and item each get
+A window has as many words as the benchmark item it is held against. It is made at every start where it holds as many
+places of shingles of the item, in any order, as the threshold asks for; others cannot reach it. Window and item each get
 a 64-bit SimHash of their shingles. The bits are cut into eight blocks: two fingerprints within 23 bits differ by at
 most two bits in one block at least, so looking up every block among the item's block values within two bits finds
 all fingerprints within the radius. What is found is verified by the weighted similarity of the shingle multisets.
@@ -9,8 +9,7 @@ all fingerprints within the radius. What is found is verified by the weighted si
 Only DataFrame functions are used. Words are lower-cased and split at space and \\x09-\\x0D.
 
 Defined results: null texts and items are empty and match nothing; an item of fewer than five words is one shingle;
-a document shorter than the item is one window; per document and item the most similar of these windows is given, the first of
-equals; rows that repeat an id and a text give one result; documents may lack an id. Other columns are ignored.
+a document shorter than the item is one window; per document and item the most similar window is given, the first of equals; rows that repeat an id and a text give one result; documents may lack an id. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -82,18 +81,34 @@ def row_key() -> Column:
     return F.xxhash64("doc_id", text_of())
 
 
-def windows(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """(key, item_id, at): where an item-sized window of a document shares a shingle with the item."""
+def _starts(width: int, threshold: float) -> Column:
+    """The starts, from places in order, of all windows that hold enough places: some `need` of them lie inside."""
+    length = F.least("n", "size")  # a shorter document is one window
+    reach = length - width
+    need = F.ceil(threshold / (1 + threshold) * (reach + F.col("size") - width + 2) - F.lit(1e-9)).cast("int")
+
+    def from_place(place: Column, i: Column) -> Column:
+        last = F.coalesce(F.get("places", i + F.greatest(need, F.lit(1)) - 1), F.lit(2**31 - 1))
+        low = F.greatest(F.lit(0), last - reach)
+        high = F.least(place, F.col("n") - length)
+        return F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
+
+    return F.array_distinct(F.flatten(F.transform("places", from_place)))
+
+
+def windows(docs: DataFrame, items: DataFrame, threshold: float = 0.8) -> DataFrame:
+    """(key, item_id, at): the item-sized windows of a document that may be as similar as the threshold."""
     found = None
     for (width,) in items.select("width").distinct().orderBy("width").collect():  # at most five values
         own = items.where(F.col("width") == width)
-        anchors = keep_table(own.select("item_id", "size", F.posexplode(_hashes(F.col("words"), width))
-                                        .alias("offset", "hash")), "anchors")
+        anchors = keep_table(own.select("item_id", "size", F.explode(F.array_distinct(_hashes(F.col("words"), width)))
+                                        .alias("hash")), "anchors")
         split = docs.select(row_key().alias("key"), words_of(text_of()).alias("words"))
         runs = split.select("key", F.size("words").alias("n"), F.posexplode(_hashes(F.col("words"), width))
                             .alias("place", "hash"))
-        met = runs.join(bounded(anchors), "hash").select("key", "item_id", F.greatest(F.lit(0), F.least(
-            F.col("place") - F.col("offset"), F.col("n") - F.col("size"))).alias("at"))
+        met = (runs.join(bounded(anchors), "hash").groupBy("key", "item_id", "n", "size")
+               .agg(F.sort_array(F.collect_set("place")).alias("places"))
+               .select("key", "item_id", F.explode(_starts(width, threshold)).alias("at")))
         found = met if found is None else found.unionByName(met)
     return None if found is None else found.distinct()
 
@@ -101,7 +116,7 @@ def windows(docs: DataFrame, items: DataFrame) -> DataFrame:
 def matches(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8) -> DataFrame:
     """(doc_id, item_id, start_word, n_words, hamming, similarity, key) of documents that hold an item."""
     items = keep_table(items_of(benchmark), "items")
-    found = windows(docs, items)
+    found = windows(docs, items, threshold)
     if found is None:
         found = docs.select(row_key().alias("key"), F.lit(0).alias("at")).join(items.select("item_id"), F.lit(False))
     found = keep_table(found, "windows")

@@ -237,6 +237,30 @@ def test_benchmark_items_are_found_and_clean_documents_stay(corpus, prose, llm,
     assert decontaminate.matches(corpus(rows), bench.limit(0)).count() == 0
 
 
+def test_items_with_moved_sentences_are_found_at_their_best_window(corpus, prose, llm):
+    """All windows of all starts by brute force; halves and sentences stand in another order."""
+    items = [(k, prose(70 + k, n)) for k, n in enumerate((59, 45, 40, 20))] + [(9, "one two three four five six " * 5)]
+    rows = []
+    for k, item in items:
+        words = item.split()
+        for j, cut in enumerate((len(words) // 2, 10, len(words) - 8)):
+            rows.append((10 * k + j, f"{prose(k, 70)} {' '.join(words[cut:] + words[:cut])} {prose(k + 50, 70)}"))
+        rows += [(10 * k + 5, " ".join(words[11:] + words[:11])), (10 * k + 6, " ".join(words[1:])),
+                 (10 * k + 7, f"{prose(k, 30)} {item} {prose(k + 9, 3)} {item}")]
+    bench = llm.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.start_word, r.similarity) for r in decontaminate.matches(corpus(rows), bench).collect()}
+    expected = {}
+    for i, t in rows:
+        words = t.split()
+        for k, item in items:
+            n = len(item.split())
+            best = max((similarity(bag(" ".join(words[s:s + n])), bag(item)), -s)
+                       for s in range(max(1, len(words) - n + 1)))
+            if best[0] >= 0.8:
+                expected[i, k] = (-best[1], best[0])
+    assert got == expected and {(0, 0), (1, 0), (10, 1), (20, 2)} <= set(got)
+
+
 def test_every_fingerprint_within_the_radius_shares_a_near_block():
     rng = random.Random(9)
     for _ in range(500):
