@@ -99,6 +99,14 @@ def test_near_duplicate_classes_are_those_of_brute_force(corpus, family):
     assert Counter(left) == Counter([ids[t] for t in members])
 
 
+def test_every_class_keeps_one_document_with_or_without_ids(corpus, prose):
+    a, b, c = prose(31, 90), prose(32, 90), prose(33, 90)
+    rows = [(None, a), (None, a + " end"), (None, a), (7, b), (7, b + " end"), (None, b), (8, c), (None, c),
+            (9, None), (9, "")]
+    kept = [(r.doc_id, (r.text or "")[:20]) for r in bag_minhash.one_of_each(corpus(rows)).collect()]
+    assert sorted(kept, key=str) == sorted([(None, a[:20]), (7, b[:20]), (8, c[:20]), (9, "")], key=str)
+
+
 def test_a_bucket_of_unlike_texts_still_links_every_like_pair(corpus, prose):
     """One band of one row throws many texts together; leaders of all components are tried."""
     groups = [prose(s, 80) for s in range(6)]
