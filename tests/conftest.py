@@ -30,9 +30,3 @@ def frame(spark):
         return spark.createDataFrame(rows, schema)
 
     return make
-
-
-def rows(df, *order):
-    """Collected rows as plain tuples, sorted."""
-    out = [tuple(row) for row in (df.select(*order) if order else df).collect()]
-    return sorted(out, key=lambda row: tuple((value is not None, str(value)) for value in row))

@@ -3,7 +3,7 @@ from datetime import date, datetime, timezone
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from frames import rows
 from dwelltime import fixed_values as fixed
 from dwelltime.functions import clock, metrics, text
 

@@ -8,7 +8,7 @@ from datetime import date, datetime, timedelta, timezone
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from frames import rows
 from dwelltime import workspace
 from dwelltime.operators import quality, versions
 from dwelltime.plans import intake, measure, summarise

@@ -5,7 +5,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from frames import rows
 from dwelltime.bindings import star
 from dwelltime.bindings.queries import QUERIES
 from dwelltime.operators import grains, observe

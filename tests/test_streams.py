@@ -4,7 +4,7 @@ from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from frames import rows
 from dwelltime.operators import monitoring
 from dwelltime.sources import positions
 from dwelltime.streaming import alarms, landing
