@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dwelltime.llm import bag_minhash, compact_windows, decontaminate, lm_scoring, personal_data, quality_rules, run_length_index, sentencepiece, sharding, warc
+from dwelltime.llm import (bag_minhash, compact_windows, corpus_sql, decontaminate, importance, lm_scoring, personal_data,
+                           quality_rules, run_length_index, sentencepiece, sharding, warc)
 from dwelltime.llm.tables import prepare, table
 
 
@@ -51,6 +52,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, quality_rules.learn(docs, table(spark, sf_dir, "labels")))
 
 
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = table(prepare(spark), sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return importance.resample(docs, benchmark)
+
+
 QUERIES = {
     "op1_compact_windows": op1_compact_windows,
     "op2_lm_scoring": op2_lm_scoring,
@@ -62,6 +68,7 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_decontamination": op9_decontamination,
     "op10_quality_rules": op10_quality_rules,
+    "op13_importance_resampling": op13_importance_resampling,
 }
 
 # A shard is the first prefix of a document's hash whose documents fit the limit.
@@ -84,4 +91,5 @@ from first f join levels l using (doc_id, depth)
 
 ORACLES: dict[str, str] = {
     "op7_sharding": OP7_SQL,
+    "op13_importance_resampling": corpus_sql.OP13,
 }
