@@ -55,3 +55,40 @@ ranked as (
 select doc_id, n_features, weight, score, case when place <= 10 * n // 100 then place end::bigint as rank from ranked
 union all select doc_id, n_features, weight, score, null from scored where n_features < 20
 """
+
+OP11 = f"""
+with {CRC},
+turns as (
+  select conv_id, coalesce(role, '') as role, coalesce(text, '') as text, row_number() over (
+    partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) - 1 as place
+  from conversations where conv_id is not null),
+lengths as (select conv_id, count(*) as n from turns group by conv_id),
+convs as (
+  select c.conv_id, c.conv_id - c.conv_id % 20 as family, h, least(h, coalesce(f.n, 0)) as m
+  from (select conv_id, {crc_of("conv_id::varchar")} % 4 as h from lengths, crc_steps) c
+  left join lengths f on f.conv_id = c.conv_id - c.conv_id % 20),
+rebuilt as (
+  select c.conv_id, place + 1 as depth, role, text from convs c join turns t on t.conv_id = family and place < h
+  union all
+  select c.conv_id, place - h + m + 1, role, text from convs c join turns t on t.conv_id = c.conv_id and place >= h),
+spelled as (
+  select conv_id, depth, md5(string_agg(md5(length(role)::varchar || ':' || role || text), '') over (
+           partition by conv_id order by depth)) as name,
+         len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) as words from rebuilt),
+named as (
+  select conv_id, 0 as depth, 'root' as name, 0 as words, null as parent from convs
+  union all select conv_id, depth, name, words, coalesce(lag(name) over (
+    partition by conv_id order by depth), 'root') from spelled),
+nodes as (select depth, name, any_value(parent) as parent, any_value(words) as words, min(conv_id) as conv_id,
+                 count(*) as n_convs from named group by depth, name),
+children as (select parent as name, count(*) as n from nodes where parent is not null group by parent),
+counted as (select v.*, coalesce(n, 0) as n_children from nodes v left join children c using (name)),
+below as (select distinct a.name, b.name as inside from named a join named b on a.conv_id = b.conv_id and b.depth >= a.depth),
+sums as (select b.name, count(*) filter (where n_children = 0) as n_leaves,
+                sum((n_convs - 1) * words) as saved_tokens from below b join counted v on v.name = b.inside group by b.name),
+lasts as (select conv_id, arg_max(name, depth) as name from named group by conv_id),
+ends as (select name, sha256(string_agg(conv_id::varchar, ',' order by conv_id)) as hash from lasts group by name)
+select v.conv_id, v.depth::bigint as depth, u.conv_id as parent_conv_id, v.n_convs, v.n_children, n_leaves,
+       saved_tokens::bigint as saved_tokens, coalesce(hash, sha256('')) as ends_sha256
+from counted v join sums using (name) left join ends using (name) left join nodes u on u.name = v.parent
+"""

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dwelltime.llm import (bag_minhash, compact_windows, corpus_sql, decontaminate, importance, lm_scoring, personal_data,
-                           quality_rules, run_length_index, sentencepiece, sharding, warc)
+from dwelltime.llm import (bag_minhash, compact_windows, conversation_trie, corpus_sql, decontaminate, fingerprints,
+                           importance, lm_scoring, personal_data, quality_rules, run_length_index, sentencepiece, sharding, warc)
 from dwelltime.llm.tables import prepare, table
 
 
@@ -52,6 +52,14 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, quality_rules.learn(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.trie(table(prepare(spark), sf_dir, "conversations"))
+
+
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(table(prepare(spark), sf_dir, "documents"))
+
+
 def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = table(prepare(spark), sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return importance.resample(docs, benchmark)
@@ -68,6 +76,8 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_decontamination": op9_decontamination,
     "op10_quality_rules": op10_quality_rules,
+    "op11_conversation_trie": op11_conversation_trie,
+    "op12_fingerprints": op12_fingerprints,
     "op13_importance_resampling": op13_importance_resampling,
 }
 
@@ -91,5 +101,6 @@ from first f join levels l using (doc_id, depth)
 
 ORACLES: dict[str, str] = {
     "op7_sharding": OP7_SQL,
+    "op11_conversation_trie": corpus_sql.OP11,
     "op13_importance_resampling": corpus_sql.OP13,
 }
