@@ -7,6 +7,7 @@ without agreeing on date types.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -15,10 +16,11 @@ from dwelltime.fixed_values import GTFS_COLUMNS
 from dwelltime.functions import clock, text
 from dwelltime.operators import (documents, grains, labels, match, monitoring, quality, schedule,
                                  services, versions)
-from dwelltime.sinks import site, sizes
+from dwelltime.plans import summarise, tallies
+from dwelltime.sinks import day_table, site, sizes
 from dwelltime.sinks.arrivals_table import write_arrivals
 from dwelltime.sources import measured, positions, timetables
-from dwelltime.streaming import alarms, landing
+from dwelltime.streaming import alarms, landing, record
 from dwelltime.workspace import fresh_path, materialise
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -103,23 +105,25 @@ def day_span(spark, sf_dir):
 
 # Quality ------------------------------------------------------------------------------
 
-def _report(spark, sf_dir, rows: DataFrame) -> DataFrame:
-    return quality.with_ratios(
-        quality.daily_report(rows), quality.observation_check(star.observed(spark, sf_dir), rows))
+def _report_counts(spark, sf_dir, keys=quality.DAY) -> DataFrame:
+    """Counted in one scan of the arrivals, then written."""
+    return materialise(quality.report_counts(star.arrivals(spark, sf_dir), keys), "counts")
 
 
-def _written_arrivals(spark, sf_dir) -> DataFrame:
-    return materialise(star.arrivals(spark, sf_dir), "arrivals")
+def _report(spark, sf_dir, counts: DataFrame) -> DataFrame:
+    return quality.with_ratios(quality.report_of(counts), quality.observation_check(
+        star.observed(spark, sf_dir), star.scheduled(spark, sf_dir)))
 
 
 def daily_report(spark, sf_dir):
-    return plain(_round6(_report(spark, sf_dir, _written_arrivals(spark, sf_dir)), *quality.LEVELS, "join_rate", "stop_id_match",
+    report = _report(spark, sf_dir, _report_counts(spark, sf_dir))
+    return plain(_round6(report, *quality.LEVELS, "join_rate", "stop_id_match",
                          "coverage", "stopped_pct", "median_delay_min", "absurd_pct", "early_pct"))
 
 
 def agency_report(spark, sf_dir):
     """The report per feed over all days."""
-    return _round6(quality.daily_report(_written_arrivals(spark, sf_dir), ["agency"]), *quality.LEVELS)
+    return _round6(quality.report_of(_report_counts(spark, sf_dir, ["agency"]), ["agency"]), *quality.LEVELS)
 
 
 def observation_join_check(spark, sf_dir):
@@ -141,10 +145,10 @@ def biggest_silent_lines(spark, sf_dir):
 
 
 def _quality(spark, sf_dir) -> dict[str, DataFrame]:
-    """Report, feed counts, silent lines and checks over one written table of arrivals."""
-    rows = _written_arrivals(spark, sf_dir)
-    counted = quality.line_counts(rows)
-    report = materialise(_report(spark, sf_dir, rows), "report")
+    """Report, feed counts, silent lines and checks over one written table of counts."""
+    counts = _report_counts(spark, sf_dir)
+    counted = quality.line_counts_of(counts)
+    report = materialise(_report(spark, sf_dir, counts), "report")
     agencies, silent = quality.by_agency(counted), quality.silent_lines(counted)
     return {"report": report, "agencies": agencies, "silent": silent,
             "checks": quality.quality_checks(report, agencies, silent)}
@@ -206,6 +210,10 @@ def passed_over_versions(spark, sf_dir):
         star.timetable_versions(spark, sf_dir), _chosen(spark, sf_dir), ZONE).drop("fetched_at"))
 
 
+def passed_over_counts(spark, sf_dir):
+    return plain(versions.passed_over_counts(star.timetable_versions(spark, sf_dir), _chosen(spark, sf_dir), ZONE))
+
+
 def missing_version_days(spark, sf_dir):
     days = F.explode(F.array(*[F.lit(day) for day in star.VERSION_DAYS])).alias("service_date")
     wanted = star.timetable_versions(spark, sf_dir).select("feed").distinct().select("feed", days)
@@ -222,8 +230,8 @@ def newest_version(spark, sf_dir):
 
 
 def changed_versions(spark, sf_dir):
-    """Purchases as offered timetables, against the saved signups."""
-    offered = star.table(spark, sf_dir, "events").where(F.col("event_type") == "purchase").select(
+    """Events as offered timetables, against the newest of the saved ones."""
+    offered = star.table(spark, sf_dir, "events").select(
         star._event_feed().alias("feed"), F.col("event_id").cast("string").alias("offer"),
         text.clean_etag(F.concat(F.lit('W/"'), F.get_json_object("props", "$.k"), F.lit('" '))).alias("source_etag"),
         F.col("ts").cast("date").alias("day"))
@@ -298,6 +306,27 @@ def clock_functions(spark, sf_dir):
         clock.utc_day(F.col("moment")).alias("dt"), clock.utc_hour(F.col("moment")).alias("hh")))
 
 
+def clock_changes(spark, sf_dir):
+    """Instants and days of two years in a zone that changes its clocks, both change days of each among them."""
+    key = F.col("event_id")
+    moments = star.table(spark, sf_dir, "events").select(
+        key, (F.lit(1678000000) + key * 28813 % 63072000).alias("epoch"),
+        F.date_add(F.lit(date(2023, 3, 1)), (key % 730).cast("int")).alias("service_date"))
+    wall = clock.local_wall(F.col("epoch"), star.CHANGING_ZONE)
+    window = clock.day_window(F.col("service_date"), star.CHANGING_ZONE)
+    return plain(moments.select(
+        "event_id", "epoch", clock.day_of_week(wall).alias("dow"), F.hour(wall).alias("hr"),
+        clock.hour_of_week(wall).alias("how"), clock.daypart(wall).alias("bucket"), "service_date",
+        window["starts"].alias("base"), window["ends"].alias("day_ends")))
+
+
+def local_profile(spark, sf_dir):
+    """Hour-of-week profile of the arrivals, moved 28 years on, in a zone that changes its clocks."""
+    later = star.arrivals(spark, sf_dir).withColumn(
+        "scheduled_time", F.timestamp_seconds(F.unix_seconds("scheduled_time") + 883612800))
+    return grains.profiles(grains.rider_view(later, star.CHANGING_ZONE))
+
+
 def text_functions(spark, sf_dir):
     """Tags, archive names and fallbacks made from each event."""
     events = star.table(spark, sf_dir, "events")
@@ -317,28 +346,36 @@ def text_functions(spark, sf_dir):
 
 # Documents ----------------------------------------------------------------------------
 
+def _counted(spark, sf_dir) -> DataFrame:
+    """The histogram of the whole view, counted in one scan, with the day among its keys' columns left out."""
+    return summarise.counted_view(star.view(spark, sf_dir))
+
+
+def _span(spark, sf_dir) -> documents.Span:
+    return documents.Span.lazily(grains.day_span(star.view(spark, sf_dir)))
+
+
 def _documents(spark, sf_dir):
-    view = materialise(star.view(spark, sf_dir), "view")
-    profile = materialise(grains.profiles(view), "profile")
+    counts = _counted(spark, sf_dir)
+    profile = materialise(grains.profiles_of(counts), "profile")
     names = {
         "lines": labels.line_labels(star.routes(spark, sf_dir), NETWORK),
         "stops": labels.stop_names(star.gtfs_stops(spark, sf_dir), NETWORK),
         "directions": labels.direction_names(
             star.gtfs_stop_times(spark, sf_dir), star.gtfs_trips(spark, sf_dir), NETWORK),
     }
-    stops = documents.stop_entries(grains.stop_totals(view), grains.stop_cells(view), names["stops"])
-    stops = materialise(stops, "stops")
+    stops = materialise(documents.stop_entries(
+        grains.stop_totals_of(counts), grains.stop_cells_of(counts), names["stops"]), "stops")
     directions = materialise(
         documents.direction_entries(profile, stops, names["directions"]), "directions")
-    span = documents.Span.lazily(grains.day_span(view))
-    return view, profile, names, stops, directions, span
+    return counts, profile, names, stops, directions, _span(spark, sf_dir)
 
 
 def site_stops(spark, sf_dir):
     """One JSON object per line, direction and stop."""
-    view = star.view(spark, sf_dir)
+    counts = _counted(spark, sf_dir)
     named = labels.stop_names(star.gtfs_stops(spark, sf_dir), NETWORK)
-    return documents.stop_entries(grains.stop_totals(view), grains.stop_cells(view), named)
+    return documents.stop_entries(grains.stop_totals_of(counts), grains.stop_cells_of(counts), named)
 
 
 def site_line_parts(spark, sf_dir):
@@ -348,14 +385,13 @@ def site_line_parts(spark, sf_dir):
 
 
 def site_index(spark, sf_dir):
-    view, profile, names, _, directions, span = _documents(spark, sf_dir)
-    entries = documents.index_entries(grains.headlines(view), profile, directions, names)
+    counts, profile, names, _, directions, span = _documents(spark, sf_dir)
+    entries = documents.index_entries(grains.headlines_of(counts), profile, directions, names)
     return documents.index_document(entries, span)
 
 
 def site_status(spark, sf_dir):
-    view = star.view(spark, sf_dir)
-    return documents.status_document(grains.site_totals(view), documents.Span.lazily(grains.day_span(view)))
+    return documents.status_document(grains.site_totals(star.view(spark, sf_dir)), _span(spark, sf_dir))
 
 
 def site_file_sizes(spark, sf_dir):
@@ -426,8 +462,6 @@ def file_tally(spark, sf_dir):
 
 def archive_pruning(spark, sf_dir):
     """Records of two service days, read from the UTC days next to them only."""
-    from datetime import date
-
     days = [date(2024, 1, 9), date(2024, 1, 20)]
     records = positions.read_positions(spark, _damaged_archive(spark, sf_dir), days)
     seen = positions.observations(records, days).join(records.select("dt").distinct().agg(
@@ -436,6 +470,18 @@ def archive_pruning(spark, sf_dir):
         F.count(F.lit(1)).alias("records"), F.sum("stop_sequence").alias("sequences")))
 
 
+def prefiltered_records(spark, sf_dir):
+    """Records and unreadable lines of two service days by reason; lines of other days are never parsed."""
+    days = [date(2024, 1, 9), date(2024, 1, 20)]
+    records = positions.read_day_records(spark, _damaged_archive(spark, sf_dir), days)
+    good = positions.observations(records, days).groupBy("service_date").agg(
+        F.count(F.lit(1)).alias("records"), F.sum("stop_sequence").alias("sequences"))
+    bad = positions.quarantine(records).groupBy("reason").agg(F.count(F.lit(1)).alias("records"))
+    return plain(good.select("service_date", F.lit("read").alias("kind"), "records", "sequences").unionByName(bad.select(
+        F.lit(None).cast("date").alias("service_date"), F.col("reason").alias("kind"), "records",
+        F.lit(None).cast("bigint").alias("sequences"))))
+
+
 def listed_versions(spark, sf_dir):
     """Events as saves of some two hundred versions a feed; the newest save of each is listed."""
     saves = star.table(spark, sf_dir, "events").select(
@@ -472,6 +518,25 @@ def partition_overwrite(spark, sf_dir):
         F.count(F.lit(1)).alias("rows")))
 
 
+def incremental_summary(spark, sf_dir):
+    """Months as days: all but the newest are measured and counted, the newest joins, an old one is measured anew
+    with fewer rows and put right again. The total is brought up to date each time and read at three grains."""
+    path, kept = fresh_path(spark, "arrivals"), fresh_path(spark, "tallies")
+    month = materialise(star.arrivals(spark, sf_dir).withColumn(
+        "service_date", F.trunc("service_date", "MM")), "months")
+    first, last = month.agg(F.min("service_date"), F.max("service_date")).first()
+    for rows in (month.where(F.col("service_date") < F.lit(last)), month.where(F.col("service_date") == F.lit(last)),
+                 month.where((F.col("service_date") == F.lit(first)) & (F.col("agency") == "RAIL")),
+                 month.where(F.col("service_date") == F.lit(first))):
+        write_arrivals(rows, path)
+        counts = tallies.refresh(spark, path, kept, NETWORK)
+    grain = lambda name, frame: frame.select(F.lit(name).alias("grain"), "agency", "line", *[
+        (F.col(key) if key in frame.columns else F.lit(None)).cast("string").alias(key)
+        for key in ("direction_id", "how", "stop_id", "bucket")], "scheduled", "measured", "med", "p90", "pct5")
+    return grain("line", grains.headlines_of(counts)).unionByName(
+        grain("hour", grains.profiles_of(counts))).unionByName(grain("stop", grains.stop_cells_of(counts)))
+
+
 def zip_members(spark, sf_dir):
     """Routes packed into timetable zips, a batch of rows each, and expanded again."""
     import io
@@ -546,18 +611,48 @@ def feed_tally_stream(spark, sf_dir):
 
 
 def stalled_feeds_stream(spark, sf_dir):
-    """Alarms over hourly windows: those the stream raised, then those of the windows left open at its end."""
-    out, checkpoint = fresh_path(spark, "alarms"), fresh_path(spark, "alarm-state")
+    """Alarms over hourly windows: those of the stream's state, then those of the windows left open at its end."""
+    out, checkpoint = fresh_path(spark, "silence"), fresh_path(spark, "silence-state")
     spool = _spool(spark, sf_dir)
-    tallies = alarms.feed_tally(_streamed_messages(spark, spool), "1 hour", "10 minutes")
-    alarms.start_alarms(tallies, out, checkpoint, star.FEED_AGENCIES, once=True).awaitTermination()
-    schema = "interval timestamp, agency string, records long, silent int, batch long"
-    raised = spark.read.schema(schema).parquet(f"{out}/alarms").drop("batch")
-    closed = spark.read.schema(alarms.TALLY).parquet(f"{out}/tally").drop("batch")
-    left = alarms.open_records(_received(spark, spool), closed, "1 hour")
+    grid = alarms.feed_grid(_streamed_messages(spark, spool), star.FEED_AGENCIES, "1 hour", "10 minutes")
+    alarms.start_silence(grid, out, checkpoint, once=True).awaitTermination()
+    told = spark.read.schema(alarms.SILENCE).parquet(out)
+    left = alarms.open_records(_received(spark, spool), told, "1 hour")
     tally = monitoring.interval_tally(left, F.col("received_at"), "1 hour")
-    return plain(raised.unionByName(monitoring.stalled_feeds(
-        tally, star.FEED_AGENCIES, carried=alarms.last_counters(spark, out))))
+    return plain(alarms.alarms_of(told).unionByName(monitoring.stalled_feeds(
+        tally, star.FEED_AGENCIES, carried=monitoring.counters(told))))
+
+
+def _recorded(spark, sf_dir, files_a_batch: int) -> str:
+    """The record job over the spool of single days, several days a batch, newest file first, some lines damaged."""
+    spool, out = fresh_path(spark, "spool"), fresh_path(spark, "recorded")
+    records = star.feed_records(spark, sf_dir)
+    lines = landing.enveloped(records.select("received_at", "agency", F.col("props").alias("payload"))).select(
+        "value", F.date_add(F.lit(date(2024, 2, 28)), -F.dayofyear("dt")).alias("day"))
+    damaged = F.when(F.get_json_object("value", "$.payload.k") == "7", F.concat(F.lit("{"), "value")).otherwise(
+        F.when(F.get_json_object("value", "$.payload.k") == "8", F.replace("value", F.lit('"agency"'), F.lit('"nobody"')))
+        .otherwise(F.col("value")))
+    (lines.select(damaged.alias("value"), "day").hint("rebalance", "day")
+     .write.option("compression", "gzip").partitionBy("day").text(spool))
+    raw = (spark.readStream.format("text").option("pathGlobFilter", "*.gz").option("maxFilesPerTrigger", files_a_batch)
+           .load(spool).select("value", F.col("_metadata.file_name").alias("file_name")))
+    record.start_record(raw, out, fresh_path(spark, "record-state"), star.FEED_AGENCIES, once=True).awaitTermination()
+    return out
+
+
+def late_records(spark, sf_dir):
+    """The streamed tally, records that came after their interval was closed among them, and the unreadable lines."""
+    out = _recorded(spark, sf_dir, 6)
+    bad = record.unreadable(spark, out).groupBy("reason").agg(F.count(F.lit(1)).alias("records"))
+    return plain(record.tally(spark, out)).unionByName(bad.select(
+        F.lit(None).cast("bigint").alias("interval"), F.col("reason").alias("agency"), "records"))
+
+
+def recorded_archive(spark, sf_dir):
+    """What the record job archived, read by the archive's reader and counted by partition and feed."""
+    out = _recorded(spark, sf_dir, 12)
+    landed = positions.read_positions(spark, f"{out}/archive")
+    return plain(landed.groupBy("dt", "hh", "agency").agg(F.count(F.lit(1)).alias("records")))
 
 
 QUERIES: dict[str, Query] = {
@@ -567,10 +662,10 @@ QUERIES: dict[str, Query] = {
         day_span, daily_report, agency_report, observation_join_check, by_agency, silent_lines,
         biggest_silent_lines, quality_checks, quality_verdicts, report_text, line_labels, stop_names,
         direction_names, active_services, contradicting_exceptions, version_as_of,
-        passed_over_versions, missing_version_days, coverage_warnings, newest_version,
+        passed_over_versions, passed_over_counts, missing_version_days, coverage_warnings, newest_version,
         changed_versions, line_drift, feed_tally, stalled_feeds, natural_order, gtfs_clock, json_path,
-        clock_functions, text_functions, site_stops, site_line_parts, site_index, site_status,
+        clock_functions, clock_changes, local_profile, text_functions, site_stops, site_line_parts, site_index, site_status,
         site_file_sizes, position_scan, stored_arrivals, partition_overwrite, zip_members,
-        position_quarantine, file_tally, archive_pruning, listed_versions, largest_document,
-        landing_stream, feed_tally_stream, stalled_feeds_stream)
+        incremental_summary, position_quarantine, file_tally, archive_pruning, prefiltered_records, listed_versions, largest_document,
+        landing_stream, feed_tally_stream, stalled_feeds_stream, late_records, recorded_archive)
 }

@@ -18,6 +18,7 @@ from dwelltime.operators import grains, match, observe, schedule
 from dwelltime.schemas import SCHEDULED
 
 NETWORK = Network(zone="UTC", feeds={"bus": "BUS", "rail": "RAIL"}, rail_agencies=("RAIL",))
+CHANGING_ZONE = "America/Los_Angeles"
 FEED_AGENCIES = [f"{kind}-{n}" for kind in ("click", "error", "purchase", "signup", "view") for n in range(10)]
 
 
@@ -245,8 +246,8 @@ def _instant(column: str) -> Column:
 
 
 def timetable_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A signup is a saved timetable version."""
-    return table(spark, sf_dir, "events").where(F.col("event_type") == "signup").select(
+    """An event is a saved timetable version."""
+    return table(spark, sf_dir, "events").select(
         _event_feed().alias("feed"), F.col("event_id").cast("string").alias("version"),
         F.get_json_object("props", "$.k").alias("source_etag"),
         _instant("ts").alias("fetched_at"), _instant("ts").alias("updated_at"))
@@ -256,7 +257,7 @@ def version_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each version's one service: eleven days from two before the save; every fourth lists none."""
     key = F.col("event_id")
     day = F.col("ts").cast("date")
-    return table(spark, sf_dir, "events").where(F.col("event_type") == "signup").select(
+    return table(spark, sf_dir, "events").select(
         _event_feed().alias("feed"), key.cast("string").alias("version"), F.lit("daily").alias("service_id"),
         _compact(F.date_sub(day, 2)).alias("start_date"), _compact(F.date_add(day, 8)).alias("end_date"),
         *[F.when(key % 4 == 0, "0").otherwise(_bit(key, n)).alias(name)
@@ -272,7 +273,7 @@ def feed_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The window a version claims; every third says nothing."""
     day = F.col("ts").cast("date")
     key = F.col("event_id")
-    return table(spark, sf_dir, "events").where(F.col("event_type") == "signup").select(
+    return table(spark, sf_dir, "events").select(
         _event_feed().alias("feed"), key.cast("string").alias("version"),
         _compact(day).alias("feed_start_date"),
         F.when(key % 3 != 0, _compact(F.date_add(day, 5))).otherwise("").alias("feed_end_date"))

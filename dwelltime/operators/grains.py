@@ -2,12 +2,19 @@
 
 Origins are left out throughout: they time a departure. Every row carries what was
 scheduled next to what was measured.
+
+All summaries can be read from one histogram, which one pass over the arrivals counts: rows by
+line, hour and delay, by stop, daypart and delay, by stop and place along the route, and by trip.
+Histograms of days add up, so a new day is counted alone.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
+from dwelltime import fixed_values as fixed
 from dwelltime.functions import clock, metrics
 
 LINE = ["agency", "line"]
@@ -15,6 +22,13 @@ DIRECTION = [*LINE, "direction_id"]
 STOP = [*DIRECTION, "stop_id"]
 PROFILE = [*DIRECTION, "how"]
 CELL = [*STOP, "bucket"]
+TRIP = [*LINE, "trip_id"]
+
+HOURS, PARTS, PLACES, TRIPS = "hours", "parts", "places", "trips"
+#: What the histogram counts rows by; the last column of the first three is the value that is ranked.
+GRAINS = {HOURS: [*PROFILE, metrics.DELAY], PARTS: [*CELL, metrics.DELAY], PLACES: [*STOP, "stop_sequence"], TRIPS: TRIP}
+_COLUMNS = list(dict.fromkeys(column for keys in GRAINS.values() for column in keys))
+HISTOGRAM = ["grain", *_COLUMNS, "n", "seen"]
 
 
 def rider_view(arrivals: DataFrame, zone: str) -> DataFrame:
@@ -48,9 +62,15 @@ def stop_totals(view: DataFrame) -> DataFrame:
 
     Not a sum of cells: stops whose dayparts saw nothing must still count as scheduled.
     """
-    return view.groupBy(*STOP).agg(
-        F.round(F.percentile("stop_sequence", F.lit(0.5))).cast("int").alias("seq"),
-        F.count(F.lit(1)).alias("scheduled"), F.count("delay_seconds").alias("measured"))
+    return totals_of(view.groupBy(*STOP, "stop_sequence").agg(
+        F.count(F.lit(1)).alias("n"), F.count(metrics.DELAY).alias("seen")))
+
+
+def totals_of(places: DataFrame) -> DataFrame:
+    """`stop_totals` from rows counted by stop and place."""
+    return metrics.ranked(places, STOP, "stop_sequence").groupBy(*STOP).agg(
+        F.round(metrics.level(0.5, "stop_sequence")).cast("int").alias("seq"),
+        F.sum("n").alias("scheduled"), F.sum("seen").alias("measured"))
 
 
 def direction_totals(totals: DataFrame) -> DataFrame:
@@ -64,11 +84,15 @@ def site_totals(view: DataFrame) -> DataFrame:
     Counted per trip first, so the distinct counts run over trips, not stops. `lines_by_code`
     counts codes regardless of agency, `lines` counts lines.
     """
-    by_trip = view.groupBy(*LINE, "trip_id").agg(
-        F.count(F.lit(1)).alias("rows"), F.count("delay_seconds").alias("seen"))
+    return site_totals_of(view.groupBy(*TRIP).agg(
+        F.count(F.lit(1)).alias("n"), F.count(metrics.DELAY).alias("seen")))
+
+
+def site_totals_of(trips: DataFrame) -> DataFrame:
+    """`site_totals` from rows counted by trip."""
     coverage = F.bround(metrics.share(F.col("measured_arrivals"), F.col("scheduled_stops")), 1)
-    return by_trip.agg(
-        F.coalesce(F.sum("rows"), F.lit(0)).alias("scheduled_stops"),
+    return trips.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("scheduled_stops"),
         F.coalesce(F.sum("seen"), F.lit(0)).alias("measured_arrivals"),
         F.count_distinct("agency", "line").alias("lines"),
         F.count_distinct("line").alias("lines_by_code"),
@@ -78,9 +102,54 @@ def site_totals(view: DataFrame) -> DataFrame:
 
 def day_span(view: DataFrame) -> DataFrame:
     """First and last measured day and how many there are; too few makes the rest provisional."""
-    from dwelltime import fixed_values as fixed
-
     return view.agg(
         F.min("service_date").alias("first_day"), F.max("service_date").alias("last_day"),
         F.count_distinct("service_date").alias("days"),
     ).withColumn("provisional", F.col("days") < fixed.SETTLED_DAYS)
+
+
+# One histogram ------------------------------------------------------------------------
+
+def histogram(view: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Rows and measured rows of all GRAINS from one pass, optionally per `by` (such as the day) as well.
+
+    A row of the view becomes four on the map side and merges there; only counts are shuffled.
+    """
+    sets = [[*by, *keys] for keys in GRAINS.values()]
+    # Which columns a set lacks, as the bits that grouping_id gives it.
+    lacks = {grain: sum(1 << at for at, column in enumerate(reversed([*by, *_COLUMNS])) if column not in (*by, *keys))
+             for grain, keys in zip(GRAINS, sets, strict=True)}
+    grain = F.element_at(F.create_map(*[F.lit(x) for pair in lacks.items() for x in pair[::-1]]), F.col("lacks"))
+    grouped = view.groupingSets(sets, *by, *_COLUMNS).agg(
+        F.grouping_id().cast("int").alias("lacks"), F.count(F.lit(1)).alias("n"),
+        F.count(metrics.DELAY).alias("seen"))
+    return grouped.select(*by, grain.alias("grain"), *_COLUMNS, "n", "seen")
+
+
+def added(histograms: DataFrame) -> DataFrame:
+    """One histogram from those of several days."""
+    return histograms.groupBy("grain", *_COLUMNS).agg(F.sum("n").alias("n"), F.sum("seen").alias("seen"))
+
+
+def _of(counts: DataFrame, grain: str) -> DataFrame:
+    return counts.where(F.col("grain") == grain)
+
+
+def profiles_of(counts: DataFrame) -> DataFrame:
+    return metrics.metrics_of(_of(counts, HOURS).select(*GRAINS[HOURS], "n"), PROFILE)
+
+
+def headlines_of(counts: DataFrame) -> DataFrame:
+    return metrics.metrics_of(metrics.merged(_of(counts, HOURS), LINE), LINE)
+
+
+def stop_cells_of(counts: DataFrame) -> DataFrame:
+    return metrics.metrics_of(_of(counts, PARTS).select(*GRAINS[PARTS], "n"), CELL)
+
+
+def stop_totals_of(counts: DataFrame) -> DataFrame:
+    return totals_of(_of(counts, PLACES).select(*GRAINS[PLACES], "n", "seen"))
+
+
+def all_site_totals_of(counts: DataFrame) -> DataFrame:
+    return site_totals_of(_of(counts, TRIPS).select(*GRAINS[TRIPS], "n", "seen"))

@@ -40,29 +40,60 @@ def missing_days(wanted: DataFrame, chosen: DataFrame) -> DataFrame:
     return wanted.join(chosen, DAY_KEYS, "left_anti")
 
 
-def passed_over(versions: DataFrame, chosen: DataFrame, zone: str) -> DataFrame:
-    """Versions preferred to the chosen one that list no service that day.
+def _ranked_versions(versions: DataFrame) -> DataFrame:
+    """Versions of a feed numbered by fetch time: `newer` with the better of equal times last, `nearer` first.
+
+    So the versions better than a choice are a stretch of one of the two numbers.
+    """
+    known = versions.select("feed", "version", F.unix_micros("fetched_at").alias("fetched"))
+    feed = Window.partitionBy("feed")
+    return known.withColumns({
+        "newer": F.row_number().over(feed.orderBy("fetched", F.desc("version"))),
+        "nearer": F.row_number().over(feed.orderBy("fetched", "version"))})
+
+
+def _better_stretch(versions: DataFrame, chosen: DataFrame, zone: str) -> tuple[DataFrame, DataFrame]:
+    """(ranked versions, choices with the first and last number of what was preferred to them).
 
-    Versions meet a choice through the UTC days between the choice and the day start, so
-    only versions fetched in that stretch are looked at.
+    How many versions a day start has behind it is read off one ordered list of versions and days;
+    no version is paired with a day.
     """
-    micros = lambda name: F.unix_micros(name)
+    ranked = _ranked_versions(versions)
     starts = clock.day_base(F.col("service_date"), zone) * 1_000_000
-    first = versions.groupBy("feed").agg(F.min(micros("fetched_at")).alias("first_fetched"))
-    stretch = chosen.join(first, "feed").select(
-        *DAY_KEYS, F.col("version").alias("chosen"), micros("fetched_at").alias("chosen_fetched"),
-        F.col("in_force"), starts.alias("starts"), "first_fetched")
-    low = F.when(F.col("in_force"), F.col("chosen_fetched")).otherwise(F.col("first_fetched"))
-    high = F.when(F.col("in_force"), F.col("starts")).otherwise(F.col("chosen_fetched"))
-    as_day = lambda moment: F.date_from_unix_date(F.floor(moment / 86_400_000_000).cast("int"))
-    stretch = stretch.select("*", F.explode(F.when(
-        low <= high, F.sequence(as_day(low), as_day(high)))).alias("fetched_day"))
-    tried = versions.select("feed", "version", micros("fetched_at").alias("fetched"),
-                            as_day(micros("fetched_at")).alias("fetched_day"))
-    met = stretch.join(tried, ["feed", "fetched_day"]).where(F.col("version") != F.col("chosen"))
-    ahead = (_preference(F.col("fetched"), F.col("starts"), F.col("version"))
-             < _preference(F.col("chosen_fetched"), F.col("starts"), F.col("chosen")))
-    return met.where(ahead).select(
+    marks = ranked.select("feed", F.col("fetched").alias("at"), F.lit(0).alias("kind"),
+                          F.lit(None).cast("date").alias("service_date")).unionByName(
+        chosen.select("feed", starts.alias("at"), F.lit(1).alias("kind"), "service_date"))
+    # At equal instants versions come first: a version fetched at the day's start is in force.
+    behind = F.sum(1 - F.col("kind")).over(Window.partitionBy("feed").orderBy("at", "kind").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow))
+    as_of = marks.withColumn("behind", behind).where("kind = 1").select(*DAY_KEYS, "behind")
+    own = ranked.select("feed", "version", "newer", "nearer")
+    ahead = chosen.select(*DAY_KEYS, "version", "in_force").join(own, ["feed", "version"]).join(as_of, DAY_KEYS)
+    return ranked, ahead.select(
+        *DAY_KEYS, F.col("version").alias("chosen"), "in_force",
+        F.when(F.col("in_force"), F.col("newer") + 1).otherwise(1).cast("int").alias("first"),
+        F.when(F.col("in_force"), F.col("behind")).otherwise(F.col("nearer") - 1).cast("int").alias("last"))
+
+
+def passed_over_counts(versions: DataFrame, chosen: DataFrame, zone: str) -> DataFrame:
+    """How many versions were preferred to each chosen one but list no service that day."""
+    _, ahead = _better_stretch(versions, chosen, zone)
+    return ahead.select(*DAY_KEYS, "chosen", F.greatest(F.lit(0), F.col("last") - F.col("first") + 1).alias("passed_over"))
+
+
+def passed_over(versions: DataFrame, chosen: DataFrame, zone: str) -> DataFrame:
+    """Versions preferred to the chosen one that list no service that day, a row each.
+
+    A choice is spread over the numbers of its stretch and meets one version per number, so the join
+    makes the rows it returns and no others.
+    """
+    ranked, ahead = _better_stretch(versions, chosen, zone)
+    stretch = ahead.where(F.col("first") <= F.col("last")).withColumn("place", F.explode(F.sequence("first", "last")))
+    number = F.explode(F.array(F.struct(F.lit(True).alias("in_force"), F.col("newer").alias("place")),
+                               F.struct(F.lit(False).alias("in_force"), F.col("nearer").alias("place"))))
+    placed = ranked.select("feed", "version", "fetched", number.alias("number")).select(
+        "feed", "version", "fetched", "number.*")
+    return stretch.join(placed, ["feed", "in_force", "place"]).select(
         *DAY_KEYS, "version", "chosen", F.timestamp_micros("fetched").alias("fetched_at"))
 
 

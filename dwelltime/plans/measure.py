@@ -92,8 +92,8 @@ def measure_days(spark: SparkSession, observations: DataFrame, members: dict[str
     """Measure the given service days in one job and replace their partitions under `out`.
 
     The archive is read once: its collapsed form, a thirtieth of the records, is written to
-    the shared folder and feeds both the match and the observation check. The report reads
-    the partitions just written.
+    the shared folder and feeds both the match and the observation check. The report counts
+    the days just written in one scan.
     """
     days = sorted(set(days))
     timetable = choose_timetables(members, manifest, days, network)
@@ -103,10 +103,11 @@ def measure_days(spark: SparkSession, observations: DataFrame, members: dict[str
     write_arrivals(match.match_arrivals(due, observed), out, days)
 
     arrivals = measured.read_arrivals(spark, out, days)
-    counted = materialise(quality.line_counts(arrivals), "counted")
-    agencies, silent = quality.by_agency(counted), quality.silent_lines(counted)
+    counts = materialise(quality.report_counts(arrivals), "counts")
+    lines = materialise(quality.line_counts_of(counts), "lines")
+    agencies, silent = quality.by_agency(lines), quality.silent_lines(lines)
     report = materialise(quality.with_ratios(
-        quality.daily_report(arrivals), quality.observation_check(observed, arrivals)), "report")
+        quality.report_of(counts), quality.observation_check(observed, arrivals)), "report")
     checks = quality.quality_checks(report, agencies, silent, len(network.feeds))
     coverage = versions.coverage_warnings(timetable.chosen, timetable.members["feed_info"])
     passed = versions.passed_over(timetables.listed_versions(manifest), timetable.chosen, network.zone)
@@ -117,10 +118,11 @@ def measure_archive(spark: SparkSession, raw: str, landed: str, manifest: str, d
                     out: str, network: Network = LOS_ANGELES, committed_only: bool = False) -> Measured:
     """`measure_days` from paths: raw archive, timetable tables, version manifest.
 
-    Records that cannot be read are counted in the pass that reads all others; only if there
-    are any, a second pass writes them to the shared folder.
+    Lines stamped with another day leave before they are parsed. Records that cannot be read are
+    counted in the pass that reads all others; only if there are any, a second pass writes them
+    to the shared folder.
     """
-    records = positions.read_positions(spark, raw, days, keep_corrupt=True, committed_only=committed_only)
+    records = positions.read_day_records(spark, raw, days, committed_only)
     seen = Observation("records")
     watched = records.observe(seen, F.count_if(positions.problem().isNotNull()).alias("malformed"))
     members = timetables.read_landed(spark, landed)

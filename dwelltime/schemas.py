@@ -49,3 +49,10 @@ TIMETABLE_VERSIONS = _fields(
     ("fetched_at", T.TimestampType()), ("updated_at", T.TimestampType()),
     ("route_codes", T.ArrayType(_S)), ("path", _S),
 )
+
+# Rows and measured rows by grain (operators.grains.GRAINS); columns a grain lacks are missing.
+HISTOGRAM = _fields(
+    ("grain", _S), ("agency", _S), ("line", _S), ("direction_id", _I), ("how", _I), ("delay_seconds", _I),
+    ("stop_id", _S), ("bucket", _S), ("stop_sequence", _I), ("trip_id", _S), ("n", _L), ("seen", _L),
+)
+TALLIES = T.StructType([T.StructField("service_date", T.DateType()), *HISTOGRAM.fields])

@@ -1,4 +1,4 @@
-"""Measured arrivals on disk: one partition a service day, replaced whole."""
+"""Measured arrivals on disk: one partition a service day, replaced whole in one commit."""
 
 from __future__ import annotations
 
@@ -8,22 +8,15 @@ from datetime import date
 from pyspark.sql import DataFrame
 
 from dwelltime.operators.match import stored_columns
-from dwelltime.workspace import partition_folder, remove
+from dwelltime.sinks import day_table
 
-ORDER = ["service_date", "agency", "line", "trip_id", "stop_sequence"]
+ORDER = ["agency", "line", "trip_id", "stop_sequence"]
 
 
 def write_arrivals(arrivals: DataFrame, path: str, days: Iterable[date] = ()) -> None:
     """Replace the days present in `arrivals` and the given ones; leave every other day alone.
 
-    A given day without rows ends up empty: its partition is deleted before the write.
-
-    Rebalancing sizes the files at run time: an ordinary day is one file, a crowded day is
-    split over tasks. Rows are sorted within files, which is what makes them compress.
+    A given day without rows ends up empty. Until the commit readers see the days as they were,
+    also where the write fails.
     """
-    for day in days:
-        remove(arrivals.sparkSession, partition_folder(arrivals.sparkSession, path, service_date=str(day)))
-    (stored_columns(arrivals).hint("rebalance", "service_date")
-     .sortWithinPartitions(*ORDER)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .option("compression", "zstd").partitionBy("service_date").parquet(path))
+    day_table.write_days(stored_columns(arrivals), path, days, order=ORDER)

@@ -1,10 +1,20 @@
-"""Writing the site's files; each run replaces all of them."""
+"""Writing the site's files. Each run builds a folder of its own; a small file names the one that counts.
+
+Under the site's root lie builds/<run>/ with lines/<agency>/<line>.json, lines_gzip/<agency>/<line>.json.gz,
+index.json and status.json, and current.json, which names the run. A page reads current.json first. It is
+replaced in one step once a build is whole, so there is always a site, and never half of one.
+"""
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from dwelltime.operators.documents import PART_ORDER
+from dwelltime.sinks.day_table import read_small, write_small
+from dwelltime.workspace import remove
 
 
 def write_lines(parts: DataFrame, path: str, compression: str = "none") -> None:
@@ -33,15 +43,45 @@ def _part(files, folder):
     return found[0]
 
 
-def publish(spark: SparkSession, built: str, out: str) -> None:
-    """Give the files under `built` their addresses and switch them in for `out`.
+def _move(files, source, target) -> None:
+    if not files.rename(source, target):
+        raise RuntimeError(f"{source} could not be moved to {target}")
+
+
+def new_build(out: str) -> str:
+    """Where a run puts its parts before `publish`."""
+    return f"{out.rstrip('/')}/builds/{uuid.uuid4().hex}-parts"
+
+
+def live(spark: SparkSession, out: str) -> str | None:
+    """The folder of the build that counts, None before the first."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{out.rstrip('/')}/current.json")
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return None
+    return f"{out.rstrip('/')}/builds/{json.loads(read_small(spark, str(path)))['build']}"
+
+
+def _switch(spark: SparkSession, out: str, build: str) -> None:
+    """current.json replaced in one step."""
+    jvm, beside = spark._jvm, f"{out}/current.{build}.tmp"
+    write_small(spark, beside, json.dumps({"build": build}))
+    replace = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    replace[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    source, target = jvm.org.apache.hadoop.fs.Path(beside), jvm.org.apache.hadoop.fs.Path(f"{out}/current.json")
+    qualified = source.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(source)
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(qualified.toUri(), spark._jsc.hadoopConfiguration()).rename(
+        source, target, replace)
+
+
+def publish(spark: SparkSession, built: str, out: str) -> str:
+    """Give the files under `built` their addresses in a build of its own, name it, and return its folder.
 
-    lines/<agency>/<line>.json, lines_gzip/<agency>/<line>.json.gz, index.json and status.json.
-    There is a file a line, so the renames are few; whatever was under `out` goes.
+    There is a file a line, so the renames are few. Afterwards this build and the one before are kept, for
+    pages that have just read its name; what other runs have left, broken ones too, goes.
     """
     path = spark._jvm.org.apache.hadoop.fs.Path
-    files = path(built).getFileSystem(spark._jsc.hadoopConfiguration())
-    ready = f"{built}-ready"
+    out, before, build = out.rstrip("/"), live(spark, out), uuid.uuid4().hex
+    files, ready = path(built).getFileSystem(spark._jsc.hadoopConfiguration()), f"{out}/builds/{build}"
     files.mkdirs(path(ready))
     for tree, ending in (("lines", ".json"), ("lines_gzip", ".json.gz")):
         if not files.exists(path(f"{built}/{tree}")):
@@ -51,11 +91,12 @@ def publish(spark: SparkSession, built: str, out: str) -> None:
             files.mkdirs(path(target))
             for line in files.globStatus(path(agency.getPath(), "line=*")):
                 name = line.getPath().getName().partition("=")[2]
-                files.rename(_part(files, line.getPath()), path(f"{target}/{name}{ending}"))
+                _move(files, _part(files, line.getPath()), path(f"{target}/{name}{ending}"))
     for name in ("index", "status"):
-        files.rename(_part(files, path(f"{built}/{name}")), path(f"{ready}/{name}.json"))
-    files.delete(path(out), True)
-    files.mkdirs(path(out).getParent())
-    if not files.rename(path(ready), path(out)):
-        raise RuntimeError(f"{ready} could not be moved to {out}")
-    files.delete(path(built), True)
+        _move(files, _part(files, path(f"{built}/{name}")), path(f"{ready}/{name}.json"))
+    _switch(spark, out, build)
+    kept = {build, before.rpartition("/")[2] if before else build}
+    for held in files.listStatus(path(f"{out}/builds")):
+        if held.getPath().getName() not in kept:
+            remove(spark, held.getPath().toString())
+    return ready

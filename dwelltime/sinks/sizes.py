@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
-def file_sizes(spark: SparkSession, path: str, pattern: str) -> DataFrame:
+def file_sizes(spark: SparkSession, path: str | list[str], pattern: str) -> DataFrame:
     return (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
             .option("recursiveFileLookup", "true").load(path).select("path", "length"))
 
 
-def table_size(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:
-    """Bytes, rows and bytes a row of a Parquet table, one row."""
+def table_size(spark: SparkSession, path: str | list[str], rows: DataFrame) -> DataFrame:
+    """Bytes, rows and bytes a row of a Parquet table or of the given folders of one, one row."""
     measured = file_sizes(spark, path, "*.parquet").agg(F.sum("length").alias("bytes"))
     counted = rows.agg(F.count(F.lit(1)).alias("rows"))
     return measured.select(

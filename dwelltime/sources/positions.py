@@ -24,6 +24,25 @@ def archive_days(service_dates: Iterable[date]) -> list[date]:
     return sorted(near)
 
 
+def _archive_folders(spark: SparkSession, root: str, days: list[date] | None, read) -> DataFrame:
+    """`read(base, path)` of the partitions the days need, of whichever layout is there; none is an error."""
+    spelled = "*" if days is None else "{" + ",".join(str(day) for day in days) + "}"
+    for base in (root, f"{root}/vehicle_positions"):
+        try:
+            return read(base, f"{base}/dt={spelled}")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+    raise FileNotFoundError(f"no raw files under {root} for {spelled}")
+
+
+def _needed_days(service_dates: Iterable[date] | None) -> list[date] | None:
+    days = archive_days(service_dates) if service_dates is not None else None
+    if days is not None and not days:
+        raise ValueError("no service days given")
+    return days
+
+
 def read_positions(spark: SparkSession, root: str, service_dates: Iterable[date] | None = None,
                    keep_corrupt: bool = False, committed_only: bool = False) -> DataFrame:
     """Typed records of the archive, only from the partitions the service days need.
@@ -38,26 +57,62 @@ def read_positions(spark: SparkSession, root: str, service_dates: Iterable[date]
     reader = (spark.read.schema(T.StructType(leaves))
               .option("mode", "PERMISSIVE")
               .option("columnNameOfCorruptRecord", CORRUPT))
-    root = root.rstrip("/")
-    days = archive_days(service_dates) if service_dates is not None else None
-    if days is not None and not days:
-        raise ValueError("no service days given")
-
+    root, days = root.rstrip("/"), _needed_days(service_dates)
     if committed_only:
         frame = reader.json(root)
-        return frame if days is None else frame.where(F.col("dt").isin(days))
+    else:
+        reader = reader.option("pathGlobFilter", "*.gz")
+        frame = _archive_folders(spark, root, days, lambda base, path: reader.option("basePath", base).json(path))
+    return frame if days is None else frame.where(F.col("dt").isin(days))
 
-    spelled = "*" if days is None else "{" + ",".join(str(day) for day in days) + "}"
-    reader = reader.option("pathGlobFilter", "*.gz")
-    for base in (root, f"{root}/vehicle_positions"):
-        try:
-            frame = reader.option("basePath", base).json(f"{base}/dt={spelled}")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            continue
-        return frame if days is None else frame.where(F.col("dt").isin(days))
-    raise FileNotFoundError(f"no raw files under {root} for {spelled}")
+
+def read_lines(spark: SparkSession, root: str, service_dates: Iterable[date] | None = None,
+               committed_only: bool = False) -> DataFrame:
+    """The archive's lines as they are, with dt and hh, from the partitions the service days need."""
+    reader = spark.read.schema(T.StructType([T.StructField("value", T.StringType()), *_PARTITIONS]))
+    root, days = root.rstrip("/"), _needed_days(service_dates)
+    if committed_only:
+        frame = reader.text(root)
+    else:
+        reader = reader.option("pathGlobFilter", "*.gz")
+        frame = _archive_folders(spark, root, days, lambda base, path: reader.option("basePath", base).text(path))
+    return frame if days is None else frame.where(F.col("dt").isin(days))
+
+
+_STAMP = '"startDate":"'
+
+
+def stamped_day(line: Column) -> Column:
+    """The service day a line is plainly stamped with; NULL unless it is a whole object with one such stamp.
+
+    A test on text that costs a fraction of parsing. Blanks around the colon, escapes, a second
+    stamp, a cut line: all give NULL, and only parsing can tell.
+    """
+    at = F.locate(_STAMP, line)
+    text = F.substr(line, at + len(_STAMP), F.lit(11))
+    day = F.when(F.substring(text, 9, 1) == '"', F.substring(text, 1, 8)).when(
+        F.substring(text, 11, 1) == '"', F.substring(text, 1, 10))
+    whole = line.startswith("{") & line.endswith("}") & (at > 0)
+    once = F.length(F.replace(line, F.lit(_STAMP))) == F.length(line) - len(_STAMP)
+    return F.when(whole & once, clock.service_date(day))
+
+
+def read_day_records(spark: SparkSession, root: str, service_dates: Iterable[date],
+                     committed_only: bool = False) -> DataFrame:
+    """`read_positions` with `keep_corrupt`, without the lines that are plainly another day's.
+
+    About a third of three UTC days belongs to the service days around the one asked for. Those lines
+    leave on their stamp before any is parsed; what can't be told by it is parsed. So a run answers
+    for its own days: a damaged line that is stamped counts in the run of its day, an unstamped one
+    in every run that meets it.
+    """
+    days = list(service_dates)
+    lines = read_lines(spark, root, days, committed_only)
+    theirs = stamped_day(F.col("value"))
+    kept = lines.where((F.trim("value") != "") & (theirs.isNull() | theirs.isin(days)))
+    schema = T.StructType([*POSITION.fields, T.StructField(CORRUPT, T.StringType())])
+    parsed = F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    return kept.select(parsed.alias("record"), "dt", "hh").select("record.*", "dt", "hh")
 
 
 def _leaf(path: str) -> Column:

@@ -1,27 +1,40 @@
-"""Tallies per interval behind a watermark, and alarms for feeds gone silent."""
+"""Tallies per interval behind a watermark, and alarms for feeds gone silent, from state a feed keeps."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from dwelltime import fixed_values as fixed
 from dwelltime.operators import monitoring
 
-TALLY = "interval timestamp, agency string, records long, batch long"
-COUNTERS = "agency string, silent int, batch long"
+SILENCE = "interval timestamp, agency string, records long, silent int"
+STATE_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def feed_tally(received: DataFrame, interval: str = f"{fixed.INTERVAL_MINUTES} minutes",
                lateness: str = "10 minutes") -> DataFrame:
-    """Records per interval and feed of a (received_at, agency) stream, each interval once."""
+    """Records per interval and feed of a (received_at, agency) stream, each interval once.
+
+    What comes later than the watermark is not in it; the record job tallies that as well.
+    """
     watched = received.withWatermark("received_at", lateness)
     return monitoring.interval_tally(watched, F.col("received_at"), interval)
 
 
+def feed_grid(received: DataFrame, agencies: Sequence[str], interval: str = f"{fixed.INTERVAL_MINUTES} minutes",
+              lateness: str = "10 minutes") -> DataFrame:
+    """A row per closed interval and feed, 0 where the feed had nothing while another had something."""
+    counts = F.array(*[F.struct(F.lit(name).alias("agency"), F.count_if(F.col("agency") == name).alias("records"))
+                       for name in agencies])
+    grouped = (received.withWatermark("received_at", lateness)
+               .groupBy(F.window("received_at", interval).alias("window")).agg(counts.alias("feeds")))
+    return grouped.select(F.window_time("window").alias("closes"), F.col("window.start").alias("interval"),
+                          F.inline("feeds"))
+
+
 def open_records(received: DataFrame, closed: DataFrame, interval: str) -> DataFrame:
     """The (received_at, agency) records of intervals the watermark hasn't closed, of a batch read.
 
@@ -32,52 +45,58 @@ def open_records(received: DataFrame, closed: DataFrame, interval: str) -> DataF
     return received.join(F.broadcast(last)).where(after).drop("last")
 
 
-def last_counters(spark: SparkSession, out: str) -> DataFrame:
-    """Each feed's counter as the newest batch of `start_alarms` left it."""
-    every = spark.read.schema(COUNTERS).parquet(f"{out}/counters")
-    return every.join(F.broadcast(every.agg(F.max("batch").alias("batch"))), "batch").drop("batch")
+def _silence_processor(expires_ms: int):
+    """The state of a feed: how many intervals it has been silent. Defined here so that workers need no package."""
+    import pandas as pd
+    from pyspark.sql.streaming import StatefulProcessor
+
+    class Silence(StatefulProcessor):
+        def init(self, handle):
+            self.handle = handle
+            self.counter = handle.getValueState("silent", "silent int")
 
+        def handleInputRows(self, key, rows, timerValues):
+            grid = pd.concat(list(rows)).sort_values("interval")
+            silent, told = self.counter.get()[0] if self.counter.exists() else 0, []
+            for records in grid["records"]:
+                silent = 0 if records else silent + 1
+                told.append(silent)
+            self.counter.update((silent,))
+            # One timer a feed: a feed that is in no interval for so long, being configured no more, is forgotten.
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(int(grid["closes"].max().timestamp() * 1000) + expires_ms)
+            yield pd.DataFrame({"interval": grid["interval"], "agency": key[0], "records": grid["records"],
+                                "silent": pd.array(told, "int32")})
 
-def _batch(spark: SparkSession, path: str, schema: str, batch: int) -> DataFrame:
-    """What an earlier batch left, by partition; empty if there is none."""
-    kept = spark.read.schema(schema).option("ignoreMissingFiles", "true")
-    try:
-        # The batch's own folder: the table's root gets a partition a batch for ever.
-        return kept.parquet(f"{path}/batch={batch}").drop("batch")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema).drop("batch")
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+            self.counter.clear()
+            return iter([])
 
+        def close(self):
+            pass
 
-def _replace(frame: DataFrame, path: str, batch: int) -> None:
-    (frame.withColumn("batch", F.lit(batch).cast("long")).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path))
+    return Silence()
 
 
-def start_alarms(tallies: DataFrame, out: str, checkpoint: str, agencies: Sequence[str],
-                 threshold: int = fixed.SILENT_INTERVALS, once: bool = False) -> StreamingQuery:
-    """Write tallies, counters and alarms of each micro-batch under `out`.
+def silence(grid: DataFrame, expires_hours: int = 72) -> DataFrame:
+    """How many intervals in a row each feed has been silent, at every row of a streamed `feed_grid`.
 
-    A batch holds whole intervals only, since the watermark closed them. Each batch reads
-    the counters the previous one left and writes its own under its number, so a repeated
-    batch rewrites the same partitions, and the work per batch does not grow with history.
+    A feed's counter lives in the state store, its timer in event time. Needs a state store that
+    keeps several values a key.
     """
-    tally_path, counter_path, alarm_path = (f"{out}/{name}" for name in ("tally", "counters", "alarms"))
-
-    def handle(batch_tallies: DataFrame, batch: int) -> None:
-        spark = batch_tallies.sparkSession
-        _replace(batch_tallies, tally_path, batch)
-        fresh = _batch(spark, tally_path, TALLY, batch)
-        carried = _batch(spark, counter_path, COUNTERS, batch - 1)
-        silent = monitoring.silence(fresh, agencies, carried)
-        after = monitoring.counters(silent).select("agency", F.col("silent").alias("now"))
-        kept = carried.join(after, "agency", "full_outer").select(
-            "agency", F.coalesce("now", "silent").alias("silent"))
-        _replace(kept, counter_path, batch)
-        _replace(silent.where(F.col("silent") >= threshold), alarm_path, batch)
-
-    writer = (tallies.writeStream.outputMode("append").foreachBatch(handle)
-              .option("checkpointLocation", checkpoint))
+    grid.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_PROVIDER)
+    return grid.groupBy("agency").transformWithStateInPandas(
+        _silence_processor(expires_hours * 3_600_000), SILENCE, "Append", "EventTime")
+
+
+def start_silence(grid: DataFrame, out: str, checkpoint: str, once: bool = False) -> StreamingQuery:
+    """Append every feed's silence at each closed interval to `out`, exactly once; alarms are a filter of it."""
+    writer = (silence(grid).writeStream.format("parquet").option("path", out)
+              .option("checkpointLocation", checkpoint).outputMode("append"))
     return (writer.trigger(availableNow=True) if once
             else writer.trigger(processingTime=f"{fixed.INTERVAL_MINUTES} minutes")).start()
+
+
+def alarms_of(silence_rows: DataFrame, threshold: int = fixed.SILENT_INTERVALS) -> DataFrame:
+    return silence_rows.where(F.col("silent") >= threshold)

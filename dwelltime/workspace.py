@@ -34,6 +34,11 @@ def remove(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
 def full_path(spark: SparkSession, path: str) -> str:
     """The path as Spark's readers spell it, scheme included."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -4,16 +4,17 @@ import gzip
 import json
 import zipfile
 from datetime import date, datetime, timedelta, timezone
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from frames import rows
 from dwelltime import workspace
-from dwelltime.operators import quality, versions
-from dwelltime.plans import intake, measure, summarise
+from dwelltime.operators import grains, quality, versions
+from dwelltime.plans import intake, measure, summarise, tallies
 from dwelltime.schemas import OBSERVATIONS
-from dwelltime.sinks import sizes
+from dwelltime.sinks import day_table, site, sizes
 from dwelltime.sinks.arrivals_table import write_arrivals
 from dwelltime.sources import measured, positions, timetables
 
@@ -270,11 +271,13 @@ def test_measure_days(spark, world, run):
 
 def test_rerun_of_one_day_replaces_only_that_day(spark, world, run):
     before = rows(measured.read_arrivals(spark, world["out"]))
-    files = {p: p.stat().st_mtime_ns for p in (world["root"] / "arrivals" / f"service_date={NEXT}").glob("*.parquet")}
+    parts = lambda: {p: p.stat().st_mtime_ns for p in (world["root"] / "arrivals" / f"service_date={NEXT}").rglob("*.parquet")}
+    files = parts()
     measure.measure_archive(spark, world["raw"], world["landed"], world["manifest"], [DAY], world["out"])
     assert rows(measured.read_arrivals(spark, world["out"])) == before
-    assert files == {p: p.stat().st_mtime_ns for p in (world["root"] / "arrivals" / f"service_date={NEXT}").glob("*.parquet")}
-    weight = sizes.table_size(spark, world["out"], measured.read_arrivals(spark, world["out"])).first()
+    assert files and files == parts()
+    live = day_table.live_folders(spark, world["out"])
+    weight = sizes.table_size(spark, live, measured.read_arrivals(spark, world["out"])).first()
     assert weight.rows == 48 and weight.bytes_per_row > 0
 
 
@@ -285,9 +288,13 @@ def test_day_without_timetable_is_fatal(spark, world, tmp_path):
             [date(2027, 1, 1)], str(tmp_path / "out"))
 
 
-def _site_files(out):
+def _build(spark, out):
+    return Path(site.live(spark, str(out)))
+
+
+def _site_files(build):
     found = {}
-    for path in sorted((out / "lines").rglob("*.json")):
+    for path in sorted((build / "lines").rglob("*.json")):
         found.setdefault((path.parent.name, path.stem), []).append(path.read_text())
     return found
 
@@ -296,7 +303,8 @@ def test_summarise_writes_a_site_that_reruns_identically(spark, world, run):
     out = world["root"] / "site"
     (span,) = summarise.summarise(spark, world["out"], world["landed"], world["manifest"], str(out)).collect()
     assert (span.first_day, span.last_day, span.days, span.provisional) == (DAY, NEXT, 2, True)
-    files = _site_files(out)
+    build = _build(spark, out)
+    files = _site_files(build)
     assert set(files) == {("LACMTA", "2"), ("LACMTA", "720"), ("LACMTA_Rail", "801")}
     assert all(len(texts) == 1 for texts in files.values())
     rail = json.loads(files[("LACMTA_Rail", "801")][0])
@@ -307,14 +315,14 @@ def test_summarise_writes_a_site_that_reruns_identically(spark, world, run):
     assert [(s["id"], s["n"], s["sched"]) for s in first["stops"]] == [("s2", 0, 2), ("s3", 2, 2), ("s4", 2, 2)]
     assert first["n"] == sum(s["n"] for s in first["stops"]) == 4
     assert first["stops"][1]["name"] == "Stop, 3" and first["stops"][0]["cells"] == []
-    index = json.loads((out / "index.json").read_text())
+    index = json.loads((build / "index.json").read_text())
     assert [entry["line"] for entry in index["lines"]] == ["2", "720", "801"]
-    status = json.loads((out / "status.json").read_text())
+    status = json.loads((build / "status.json").read_text())
     assert (status["scheduled_stops"], status["measured_arrivals"], status["coverage_pct"]) == (36, 32, 88.9)
     weights = {r.kind: r for r in summarise.site_sizes(spark, str(out)).collect()}
     assert weights["plain"].documents == 3 and weights["gzip"].bytes < weights["plain"].bytes
     summarise.summarise(spark, world["out"], world["landed"], world["manifest"], str(out))
-    assert _site_files(out) == files
+    assert _site_files(_build(spark, out)) == files and _build(spark, out) != build
 
 
 def test_vanished_lines_leave_the_site(spark, world, run, tmp_path):
@@ -323,5 +331,121 @@ def test_vanished_lines_leave_the_site(spark, world, run, tmp_path):
     write_arrivals(kept.select("*", F.lit(None).alias("x")), again)
     out = world["root"] / "site"
     summarise.summarise(spark, again, world["landed"], world["manifest"], str(out), gzip_copy=False)
-    assert set(_site_files(out)) == {("LACMTA", "720"), ("LACMTA_Rail", "801")}
-    assert not (out / "lines_gzip").exists()  # no older copy outlives the run
+    build = _build(spark, out)
+    assert set(_site_files(build)) == {("LACMTA", "720"), ("LACMTA_Rail", "801")}
+    assert not (build / "lines_gzip").exists()  # no older copy outlives the run
+
+
+def _days_of(spark, path):
+    return rows(measured.read_arrivals(spark, path).select("service_date").distinct())
+
+
+def test_a_failing_write_leaves_the_day_as_it_was(spark, tmp_path, run, monkeypatch):
+    out = str(tmp_path / "table")
+    whole = run.arrivals.select("*", F.lit(None).alias("x"))
+    write_arrivals(whole, out, [DAY, NEXT])
+    before = rows(measured.read_arrivals(spark, out))
+    broken = whole.where("service_date = '2026-08-18'").withColumn(
+        "line", F.when(F.col("trip_id") == "801-1", F.raise_error(F.lit("lost"))).otherwise(F.col("line")).cast("string"))
+    with pytest.raises(Exception, match="lost"):
+        write_arrivals(broken, out, [DAY, NEXT])
+    assert rows(measured.read_arrivals(spark, out)) == before
+
+    def dies(*_):
+        raise RuntimeError("killed before the commit")
+
+    monkeypatch.setattr(day_table, "commit", dies)
+    with pytest.raises(RuntimeError, match="killed"):
+        write_arrivals(whole.where("line = '801'"), out, [DAY, NEXT])
+    monkeypatch.undo()
+    assert rows(measured.read_arrivals(spark, out)) == before
+    write_arrivals(whole.where("line = '801'"), out, [DAY, NEXT])
+    assert measured.read_arrivals(spark, out).count() == 16
+    # What two newer manifests no longer name is gone, and so are the manifests.
+    write_arrivals(whole.where("line = '801'"), out, [DAY, NEXT])
+    assert len(list((tmp_path / "table" / "_manifest").glob("*.json"))) == day_table.KEPT_MANIFESTS
+
+
+def test_two_writers_of_one_manifest_conflict(spark, tmp_path):
+    path = str(tmp_path / "table")
+    day_table.commit(spark, path, {DAY: day_table.Entry("a")})
+    day_table.write_small(spark, f"{path}/_manifest/000000000002.json", '{"days": {}}')
+    with pytest.raises(day_table.Conflict):
+        day_table.write_small(spark, f"{path}/_manifest/000000000002.json", '{"days": {}}')
+    assert day_table.entries(spark, path) == {}
+
+
+def test_a_broken_publish_leaves_the_site_and_no_leftovers(spark, world, run, tmp_path, monkeypatch):
+    out = tmp_path / "site"
+    paths = world["out"], world["landed"], world["manifest"], str(out)
+    summarise.summarise(spark, *paths)
+    build, files = _build(spark, out), _site_files(_build(spark, out))
+
+    def dies(*_):
+        raise RuntimeError("killed before the switch")
+
+    monkeypatch.setattr(site, "_switch", dies)
+    with pytest.raises(RuntimeError, match="killed"):
+        summarise.summarise(spark, *paths)
+    monkeypatch.undo()
+    assert _build(spark, out) == build and _site_files(build) == files
+    summarise.summarise(spark, *paths)
+    kept = {path.name for path in (out / "builds").iterdir()}
+    assert _site_files(_build(spark, out)) == files and kept == {build.name, _build(spark, out).name}
+
+
+def test_a_new_day_reads_one_day_and_equals_a_rebuild(spark, run, world, tmp_path, monkeypatch):
+    path, kept = str(tmp_path / "arrivals"), str(tmp_path / "tallies")
+    whole = run.arrivals.select("*", F.lit(None).alias("x"))
+    late = whole.withColumns({"service_date": F.date_add("service_date", 2), "delay_seconds": (F.col("delay_seconds") + 7).cast("int")})
+    read, plain_read = [], day_table.read_entries
+
+    def watched(session, table, schema, wanted):
+        wanted = list(wanted)
+        if table == path:
+            read.append(sorted(day for day, _ in wanted))
+        return plain_read(session, table, schema, wanted)
+
+    def refreshed():
+        counts = tallies.refresh(spark, path, kept, measure.LOS_ANGELES)
+        monkeypatch.setattr(day_table, "read_entries", plain_read)
+        view = grains.rider_view(measured.read_arrivals(spark, path), measure.LOS_ANGELES.zone)
+        rebuilt = grains.histogram(view)
+        assert rows(counts) == rows(rebuilt.select(*counts.columns))
+        assert rows(tallies.span(spark, kept)) == rows(grains.day_span(view))
+        monkeypatch.setattr(day_table, "read_entries", watched)
+        return counts
+
+    monkeypatch.setattr(day_table, "read_entries", watched)
+    write_arrivals(whole, path)
+    counts = refreshed()
+    full, summary = summarise.summarise_view(grains.rider_view(run.arrivals, measure.LOS_ANGELES.zone)), summarise.summary_of(counts)
+    for name in ("profile", "heads", "cells", "totals", "site"):
+        assert rows(getattr(full, name)) == rows(getattr(summary, name)), name
+    write_arrivals(late.where("service_date = '2026-08-20'"), path)  # a new day
+    refreshed()
+    write_arrivals(whole.where("service_date = '2026-08-18' AND line = '2'"), path)  # a day measured anew
+    refreshed()
+    write_arrivals(whole.where("false"), path, [NEXT])  # a day that goes
+    refreshed()
+    refreshed()  # nothing new
+    assert read == [[DAY, NEXT], [date(2026, 8, 20)], [DAY], []]
+    # Without the old snapshot of a replaced day the total is summed anew.
+    day_table.commit(spark, f"{kept}/days", {})
+    day_table.commit(spark, f"{kept}/days", {})
+    write_arrivals(whole.where("service_date = '2026-08-18'"), path)
+    refreshed()
+    assert read[-1] == [DAY]
+
+
+def test_summarise_from_kept_tallies_writes_the_same_site(spark, world, run, tmp_path):
+    whole, kept = tmp_path / "whole", tmp_path / "kept"
+    paths = world["out"], world["landed"], world["manifest"]
+    summarise.summarise(spark, *paths, str(whole), gzip_copy=False)
+    for _ in range(2):
+        (span,) = summarise.summarise(spark, *paths, str(kept), gzip_copy=False, tallies=str(tmp_path / "tallies")).collect()
+        assert (span.first_day, span.last_day, span.days, span.provisional) == (DAY, NEXT, 2, True)
+    a, b = _build(spark, whole), _build(spark, kept)
+    assert _site_files(a) == _site_files(b)
+    for name in ("index.json", "status.json"):
+        assert (a / name).read_text() == (b / name).read_text()

@@ -1,4 +1,5 @@
-from datetime import date, datetime, timezone
+import random
+from datetime import date, datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -263,6 +264,55 @@ def test_silence_counts_only_delivering_intervals(frame):
         "agency", F.minute("interval"), "silent")) == [("rail", 20, 3)]
 
 
+def test_silence_over_many_days_equals_counting_one_by_one(frame):
+    rng, feeds, start = random.Random(6), ["a", "b", "c"], datetime(2026, 8, 17, 22, 0, tzinfo=timezone.utc)
+    given, expected, silent = [], [], {"a": 2, "b": 0, "c": 0}
+    for n in range(400):  # ten-minute intervals over three days, c quiet for more than one of them
+        at = start + timedelta(minutes=10 * n)
+        held = {f: rng.randrange(1, 9) for f in feeds if rng.random() < {"a": 0.5, "b": 0.9, "c": 0.02}[f]}
+        given += [(at, f, r) for f, r in held.items()]
+        if held:
+            for f in feeds:
+                silent[f] = 0 if f in held else silent[f] + 1
+                expected.append((at.replace(tzinfo=None), f, held.get(f, 0), silent[f]))
+    found = monitoring.silence(frame(given, "interval timestamp, agency string, records long"), feeds,
+                               frame([("a", 2)], "agency string, silent int"))
+    assert max(e[3] for e in expected) > 60
+    assert rows(found.select(F.unix_seconds("interval"), "agency", "records", "silent")) == sorted(
+        [(int(at.replace(tzinfo=timezone.utc).timestamp()), *rest) for at, *rest in expected],
+        key=lambda row: tuple((True, str(v)) for v in row))
+
+
+def test_no_window_holds_a_feeds_whole_history(frame):
+    at = datetime(2026, 8, 18, tzinfo=timezone.utc)
+    found = monitoring.silence(frame([(at, "a", 1)], "interval timestamp, agency string, records long"), ["a", "b"])
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    # Rows are windowed by feed and day; only a day's sums by feed alone.
+    windows = [line for line in plan.splitlines() if "Window [" in line and "records" in line]
+    assert all("segment" in line.split("], [")[1] for line in windows)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_passed_over_equals_comparing_every_pair(frame, seed):
+    rng, zone = random.Random(seed), "America/Los_Angeles"
+    at = {f"v{n:02d}": _at(rng.randrange(12, 22), rng.choice([3, 7, 7, 15])) for n in range(24)}
+    manifest, expected = _versions(frame, list(at.items())), []
+    days = [date(2026, 8, d) for d in range(11, 24)]
+    running = [_running(frame, [v for v in at if rng.random() < 0.2], day) for day in days]
+    whole = running[0]
+    for more in running[1:]:
+        whole = whole.unionByName(more)
+    chosen = versions.choose_versions(manifest, whole, zone)
+    for row in chosen.collect():
+        starts = datetime.combine(row.service_date, datetime.min.time(), timezone.utc) + timedelta(hours=7)
+        # In force at the start, newest first, then the nearest later one; equal times by name.
+        better = lambda v: (at[v] > starts, abs(starts - at[v]), v)
+        expected += [(row.service_date, v) for v in at if better(v) < better(row.version)]
+    assert rows(versions.passed_over(manifest, chosen, zone), "service_date", "version") == sorted(expected)
+    counts = {r.service_date: r.passed_over for r in versions.passed_over_counts(manifest, chosen, zone).collect()}
+    assert expected and counts == {r.service_date: sum(d == r.service_date for d, _ in expected) for r in chosen.collect()}
+
+
 def test_documents_nest_and_keep_thin_stops(spark, frame):
     import json
 

@@ -85,3 +85,24 @@ def test_no_row_at_a_time_python_and_no_local_checkpoint():
     source = "\n".join(p.read_text() for p in (REPO / "dwelltime").rglob("*.py"))
     for word in ("localCheckpoint", "F.udf", ".rdd", "toPandas", "crossJoin", "applyInPandas"):
         assert word not in source, word
+
+
+@needs_data
+@pytest.mark.parametrize("name", ["headlines", "stop_totals", "hour_of_week_profile", "stop_dayparts", "daily_report"])
+def test_quantiles_need_no_buffers(spark, name):
+    """Counted values and running sums: nothing that falls back to sorting past a number of groups."""
+    plan = plan_of(QUERIES[name](spark, SF))
+    for word in ("ObjectHashAggregate", "SortAggregate"):
+        assert word not in plan, word
+
+
+@needs_data
+def test_all_grains_come_from_one_scan_and_equal_those_of_the_rows(spark):
+    view = star.view(spark, SF)
+    plan = plan_of(grains.histogram(view))
+    assert plan.split("== Initial Plan ==")[-1].count("Expand [") == 1
+    counts = grains.histogram(view)
+    for direct, counted in ((grains.headlines, grains.headlines_of), (grains.profiles, grains.profiles_of),
+                            (grains.stop_cells, grains.stop_cells_of), (grains.stop_totals, grains.stop_totals_of),
+                            (grains.site_totals, grains.all_site_totals_of)):
+        assert rows(direct(view)) == rows(counted(counts)), direct.__name__
