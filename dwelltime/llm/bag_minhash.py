@@ -26,6 +26,8 @@ from dwelltime.llm.components import components
 from dwelltime.llm.tables import keep_table, text_of
 
 BANDS, ROWS = 28, 5
+#: Groups of up to so many rows are compared side by side; columns of an incidence matrix at a time.
+_SMALL, _COLUMNS = 64, 2048
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -112,26 +114,180 @@ def _undecided(state: DataFrame) -> DataFrame:
     return state.join(several, "key")
 
 
-def _key_pairs(state: DataFrame) -> DataFrame:
-    """The same rows in a bucket for each two of a text's band keys, at most bands^2 / 2 a text.
+def _count_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A text's shingles as a set of numbers: the k-th occurrence of a shingle is an element of its own."""
+    for batch in pieces(batches, "text"):
+        n = batch.num_rows
+        text, _, value = shingles(Words(batch.column("text")))
+        text, value, count = bags(text, value)
+        at = np.repeat(np.arange(len(text)), count)
+        turn = np.arange(len(at)) - np.repeat(np.cumsum(count) - count, count)
+        token = mix(value[at] + turn.astype(np.uint64) * _STEP).view(np.int64)
+        ends = np.concatenate([[0], np.cumsum(np.bincount(text[at], minlength=n))]).astype(np.int32)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("node"), pa.ListArray.from_arrays(pa.array(ends), pa.array(token))], ["node", "tokens"])
 
-    Texts that only share a passage meet in one band by chance; like ones agree in a third of all bands.
+
+def _joining(pairs: np.ndarray) -> np.ndarray:
+    """Those of the pairs of components that a forest needs."""
+    parent, kept = {}, []
+
+    def find(x: int) -> int:
+        while (up := parent.setdefault(x, x)) != x:
+            parent[x] = x = parent[up]
+        return x
+
+    for at, (a, b) in enumerate(pairs.tolist()):
+        a, b = find(a), find(b)
+        if a != b:
+            parent[a] = b
+            kept.append(at)
+    return pairs[kept]
+
+
+def _overlaps_in_groups(group: np.ndarray, owner: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(a, b, how many) of rows of one group that share tokens, for many small groups side by side.
+
+    Sorted by group and token, the rows that share a token are neighbours; they are taken one lag after the other.
     """
-    held = state.groupBy("node").agg(F.sort_array(F.collect_set("key")).alias("keys"), F.max("n").alias("n"),
-                                     F.max("degree").alias("degree"), F.max("component").alias("component"))
-    pairs = F.flatten(F.transform("keys", lambda k, i: F.transform(
-        F.slice("keys", i + 2, F.size("keys")), lambda other: F.xxhash64(k, other))))
-    return held.select("node", "n", "degree", "component", F.explode(pairs).alias("key"))
+    order = np.lexsort((owner, token, group[owner]))
+    owner, token = owner[order], token[order]
+    held, rows = group[owner], len(group)
+    at, lag, codes = np.arange(len(token)), 1, []
+    while len(at := at[at + lag < len(token)]):
+        at = at[(token[at] == token[at + lag]) & (held[at] == held[at + lag])]
+        codes.append(owner[at] * rows + owner[at + lag])
+        lag += 1
+    code, count = np.unique(np.concatenate([np.empty(0, np.int64), *codes]), return_counts=True)
+    return code // rows, code % rows, count
+
+
+def _overlaps_of_blocks(sizes: np.ndarray, token: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """How many tokens each row of one block shares with each of another, by products of incidence matrices."""
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    number, place = np.unique(token, return_inverse=True)
+    row_of = lambda rows: np.where(np.isin(np.arange(len(sizes)), rows), np.searchsorted(rows, np.arange(len(sizes))), -1)
+    a, b = row_of(left)[owner], row_of(right)[owner]
+    in_a = np.bincount(place[a >= 0], minlength=len(number)) > 0
+    in_b = np.bincount(place[b >= 0], minlength=len(number)) > 0
+    common = np.flatnonzero(in_a & in_b if left is not right else np.bincount(place, minlength=len(number)) > 1)
+    column = np.full(len(number), -1)
+    column[common] = np.arange(len(common))
+    column = column[place]
+    out = np.zeros((len(left), len(right)), np.float32)
+    for low in range(0, len(common), _COLUMNS):
+        here = (column >= low) & (column < low + _COLUMNS)
+        sides = []
+        for rows, of in ((left, a), (right, b)):
+            mine = here & (of >= 0)
+            matrix = np.zeros((len(rows), min(_COLUMNS, len(common) - low)), np.float32)
+            matrix[of[mine], column[mine] - low] = 1
+            sides.append(matrix)
+        out += sides[0] @ sides[1].T
+    return out
+
+
+def _linked(batch: pa.RecordBatch, threshold: float) -> np.ndarray:
+    """Pairs of components that whole groups of rows join: all rows of two blocks are held against each other."""
+    component = batch.column("component").to_numpy()
+    tokens = batch.column("tokens")
+    ends = tokens.offsets.to_numpy()
+    token, sizes = tokens.values.to_numpy()[ends[0]:ends[-1]], np.diff(ends).astype(np.int64)
+    edges = _group_starts(batch)
+    rows_of = np.diff(edges)
+    group = np.repeat(np.arange(len(rows_of)), rows_of)
+    owner, small, found = np.repeat(np.arange(len(sizes)), sizes), rows_of[group] <= _SMALL, []
+    like = lambda a, b, shared: (shared >= threshold * (sizes[a] + sizes[b] - shared)) & (component[a] != component[b])
+
+    mine = small[owner]
+    a, b, shared = _overlaps_in_groups(group, owner[mine], token[mine])
+    hit = like(a, b, shared)
+    found.append(np.stack([component[a[hit]], component[b[hit]]], 1))
+    left_side, starts = batch.column("leftmost").to_numpy(zero_copy_only=False), np.cumsum(sizes) - sizes
+    for low, high in zip(edges[:-1], edges[1:], strict=True):
+        if high - low <= _SMALL:
+            continue
+        left, right = np.flatnonzero(left_side[low:high]), np.flatnonzero(~left_side[low:high])
+        right = right if len(right) else left
+        shared = _overlaps_of_blocks(sizes[low:high], token[starts[low]:starts[high - 1] + sizes[high - 1]], left, right)
+        a, b = np.nonzero(shared * (1 + threshold) >= threshold * (
+            sizes[low + left][:, None] + sizes[low + right][None, :]) - 1e-3)
+        shared, a, b = shared[a, b], low + left[a], low + right[b]
+        hit = like(a, b, shared)
+        found.append(np.stack([component[a[hit]], component[b[hit]]], 1))
+    return _joining(np.unique(np.concatenate(found), axis=0))
+
+
+_GROUP = ["family", "kind", "low", "high"]
+
+
+def _group_starts(batch: pa.RecordBatch) -> np.ndarray:
+    """Where groups begin, and the end."""
+    keys = np.stack([batch.column(name).to_numpy() for name in _GROUP], 1)
+    return np.concatenate([[0], np.flatnonzero(np.any(keys[1:] != keys[:-1], axis=1)) + 1, [batch.num_rows]])
+
+
+def _compare_blocks(threshold: float, tokens: int):
+    """Links of groups that come sorted one after the other; several whole groups are compared at once."""
+    def told(batch: pa.RecordBatch) -> pa.RecordBatch:
+        links = _linked(batch, threshold)
+        return pa.RecordBatch.from_arrays([pa.array(links[:, 0]), pa.array(links[:, 1])], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = []
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            held.append(batch)
+            if sum(len(b.column("tokens").flatten()) for b in held) < tokens:
+                continue
+            whole = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            last = int(_group_starts(whole)[-2])  # the last group may go on
+            if last:
+                yield told(whole.slice(0, last))
+            held = [whole.slice(last)]
+        if held:
+            yield told(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
+    return run
 
 
-def near_links(docs: DataFrame, threshold: float = 0.8, bands: int = BANDS, rows: int = ROWS,
-               leaders: int = 16) -> DataFrame:
-    """Verified links (a, b, similarity) between different texts, enough to join every class.
+def _block_pairs(rows: DataFrame, block_tokens: int, block_rows: int) -> DataFrame:
+    """The undecided rows of families once for each pair of blocks that they are in.
 
-    A text is named by a 64-bit hash. In a band bucket nobody meets everybody: all meet the member that shares most
-    buckets, and what then still holds several components is dealt anew into buckets of two band keys each, so
-    that texts which agree in one band by chance part. There up to `leaders` further members, four times as many a
-    round, meet those of other components, until every component of a bucket has had a leader.
+    A family's largest component is one side, all others the other; blocks of the first are held against those of
+    the second, and those of the second against each other. Blocks have a bounded number of rows and tokens.
+    """
+    parts = rows.groupBy("family", "component").agg(F.count("*").alias("m"), F.sum("n").alias("tokens"))
+    split = parts.groupBy("family").agg(F.max(F.struct("m", "tokens", "component")).alias("main"),
+                                        F.sum("m").alias("m"), F.sum("tokens").alias("tokens")).where("m > main.m")
+    blocks = lambda m, tokens: F.greatest(F.ceil(m / block_rows), F.ceil(tokens / block_tokens)).cast("int")
+    split = split.select(
+        "family", F.col("main.component").alias("main"), blocks(F.col("main.m"), F.col("main.tokens")).alias("mains"),
+        blocks(F.col("m") - F.col("main.m"), F.col("tokens") - F.col("main.tokens")).alias("others"))
+    is_main = F.col("component") == F.col("main")
+    placed = rows.join(split, "family").withColumn("block", F.pmod(
+        F.xxhash64("node"), F.when(is_main, F.col("mains")).otherwise(F.col("others"))).cast("int"))
+    pair = lambda kind, low, high, leftmost: F.struct(
+        F.lit(kind).alias("kind"), low.alias("low"), high.alias("high"), leftmost.alias("leftmost"))
+    upto = lambda count: F.sequence(F.lit(0), count - 1)
+    block = F.col("block")
+    met = F.when(is_main, F.transform(upto(F.col("others")), lambda x: pair(1, block, x, F.lit(True)))).otherwise(F.concat(
+        F.transform(upto(F.col("mains")), lambda x: pair(1, x, block, F.lit(False))),
+        F.transform(upto(F.col("others")), lambda x: pair(0, F.least(x, block), F.greatest(x, block), block <= x))))
+    return placed.select("family", "node", "component", F.explode(met).alias("pair")).select(
+        "family", "pair.*", "node", "component")
+
+
+def near_components(docs: DataFrame, threshold: float = 0.8, bands: int = BANDS, rows: int = ROWS, leaders: int = 1,
+                    block_tokens: int = 1 << 17, block_rows: int = 1024) -> DataFrame:
+    """(node, component) of the texts that share a band bucket with another text.
+
+    A text is named by a 64-bit hash. In a bucket nobody meets everybody: every text is held against the `leaders`
+    best leaders of its buckets, a bucket's leader being the member that shares most buckets. That joins most of a
+    family of copies, one verified link a text. Buckets that then still hold several components are not decided;
+    the texts of such buckets that hang together are a family, and its members are held against each other in
+    blocks of bounded size, but for the members of its largest component among themselves. So each two texts that
+    share a bucket are either in one component or have been compared, and only links that join components leave a task.
     """
     named = docs.select(F.xxhash64(text_of()).alias("node"), text_of().alias("text"))
     signed = named.mapInArrow(_sign(bands, rows), "node long, n long, keys array<long>")
@@ -145,48 +301,37 @@ def near_links(docs: DataFrame, threshold: float = 0.8, bands: int = BANDS, rows
     member = keep_table(member.drop("size").join(degree, "node"), "members")
     texts = keep_table(named.join(degree.select("node"), "node", "left_semi").dropDuplicates(["node"]), "texts")
 
-    def close(a: str, b: str):
-        return F.least(a, b) >= threshold * F.greatest(a, b)
-
+    close = F.least("n", "head.n") >= threshold * F.greatest("n", "head.n")
     head = member.groupBy("key").agg(F.max(F.struct("degree", "node", "n")).alias("head"))
-    pairs = (member.join(head, "key").where("node <> head.node").where(close("n", "head.n"))
-             .select(F.greatest("node", "head.node").alias("a"), F.least("node", "head.node").alias("b")).distinct())
-    pairs = keep_table(pairs, "pairs")
-    links = keep_table(_verified(pairs, texts, threshold), "links")
-    state = (member.join(components(links), "node", "left")
-             .select("key", "node", "n", "degree", F.coalesce("component", "node").alias("component")))
-    state, served = _key_pairs(keep_table(_undecided(state), "state")), None
-    while True:
-        state = keep_table(_undecided(state), "state")
-        turn = F.pmod("node", F.lit(leaders)).alias("turn")
-        heads = (state.groupBy("key", "component").agg(F.max(F.struct("degree", "node", "n")).alias("head"))
-                 .select("key", "component", "head.degree", "head.node", "head.n"))
-        heads = heads if served is None else heads.join(served, ["key", "node"], "left_anti")
-        lead = (heads.groupBy("key", turn)
-                .agg(F.max(F.struct("degree", "node", "n", "component")).alias("lead")))
-        lead = keep_table(lead, "leads")
-        if lead.isEmpty():
-            return links
-        met = (state.join(lead, "key").where("component <> lead.component").where(close("n", "lead.n"))
-               .groupBy(F.greatest("node", "lead.node").alias("a"), F.least("node", "lead.node").alias("b"))
-               .agg(F.max(F.greatest("component", "lead.component")).alias("high"),
-                    F.min(F.least("component", "lead.component")).alias("low")))
-        met = keep_table(met.join(pairs, ["a", "b"], "left_anti"), "pairs")
-        if not met.isEmpty():
-            new = keep_table(_verified(met.select("a", "b"), texts, threshold), "links")
-            links = links.unionByName(new)
-            pairs = pairs.unionByName(met.select("a", "b"))
-            joined = components(met.join(new, ["a", "b"]).select(F.col("high").alias("a"), F.col("low").alias("b")))
-            joined = joined.withColumnRenamed("component", "into")
-            state = state.join(joined, state["component"] == joined["node"], "left").select(
-                "key", state["node"], "n", "degree", F.coalesce("into", "component").alias("component"))
-        new = lead.select("key", "lead.node")
-        served = new if served is None else keep_table(served.unionByName(new), "served")
-        leaders *= 4  # what is left after several rounds are buckets of many unlike texts
+    # A text has a head a band at most.
+    best = (member.join(head, "key").where("node <> head.node").where(close).groupBy("node")
+            .agg(F.sort_array(F.collect_set(F.struct("head.degree", "head.node")), asc=False).alias("heads")))
+    pairs = best.select("node", F.explode(F.slice("heads", 1, leaders)).alias("head")).select(
+        F.greatest("node", "head.node").alias("a"), F.least("node", "head.node").alias("b")).distinct()
+    links = _verified(keep_table(pairs, "pairs"), texts, threshold)
+    joined = components(links)
+    state = keep_table(member.join(joined, "node", "left").select(
+        "key", "node", "n", "degree", F.coalesce("component", "node").alias("component")), "state")
+
+    open_rows = keep_table(_undecided(state), "undecided")
+    centre = open_rows.groupBy("key").agg(F.max(F.struct("degree", "node")).alias("centre"))
+    ties = open_rows.join(centre, "key").where("node <> centre.node").select(
+        F.col("node").alias("a"), F.col("centre.node").alias("b")).distinct()
+    family = components(ties).withColumnRenamed("component", "family")
+    family = keep_table(open_rows.select("node", "n", "component").distinct().join(family, "node"), "families")
+    tokens = texts.join(family.select("node"), "node", "left_semi").mapInArrow(
+        _count_tokens, "node long, tokens array<long>")
+    met = _block_pairs(family, block_tokens, block_rows).join(tokens, "node")
+    more = keep_table(met.repartition(*_GROUP).sortWithinPartitions(*_GROUP).select(
+        *_GROUP, "leftmost", "component", "tokens").mapInArrow(
+        _compare_blocks(threshold, block_tokens), "a long, b long"), "links")
+    into = components(more).withColumnRenamed("component", "into").withColumnRenamed("node", "component")
+    return state.select("node", "component").distinct().join(into, "component", "left").select(
+        "node", F.coalesce("into", "component").alias("component"))
 
 
 def _placed(docs: DataFrame, how: dict) -> DataFrame:
-    joined = components(near_links(docs, **how))
+    joined = near_components(docs, **how)
     named = docs.select("doc_id", F.xxhash64(text_of()).alias("node"))
     placed = keep_table(named.join(joined, "node", "left").select(
         "doc_id", "node", F.coalesce("component", "node").alias("component")), "placed")

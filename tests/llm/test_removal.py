@@ -121,6 +121,68 @@ def test_a_bucket_of_unlike_texts_still_links_every_like_pair(corpus, prose):
     assert len(set(got.values())) == 6
 
 
+def brute_classes(rows, threshold=0.8):
+    """Class of each id by comparing every pair."""
+    held = {i: {(s, k) for s, n in bag(t).items() for k in range(n)} for i, t in rows}
+    root = {i: i for i, _ in rows}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    ids = sorted(held)
+    for n, i in enumerate(ids):
+        for j in ids[:n]:
+            shared = len(held[i] & held[j])
+            if shared and shared >= threshold * (len(held[i]) + len(held[j]) - shared):
+                root[max(find(i), find(j))] = min(find(i), find(j))
+    return {i: find(i) for i in ids}
+
+
+@pytest.mark.parametrize("blocks", [dict(), dict(block_tokens=2000, block_rows=20)])
+def test_two_families_hang_together_by_one_pair_that_leads_neither(corpus, prose, blocks):
+    """Two families of 150 edited copies each; a text between an outer member of the one and one of the other."""
+    a, b = prose(71, 300), prose(72, 300)
+    rows = [(i, edited(a, i, 1 + i % 5)) for i in range(150)] + [(200 + i, edited(b, 500 + i, 1 + i % 5)) for i in range(150)]
+    # From an edited copy of a, sentence by sentence, to one of b: each step is alike, both ends lead nothing.
+    words, others = edited(a, 900, 7).split(" "), edited(b, 901, 7).split(" ")
+    steps = [" ".join(others[:k] + words[k:]) for k in range(0, 301, 15)]
+    chain = [(400 + n, text) for n, text in enumerate(steps)]
+    without = [row for row in chain if row[0] != 410]
+    for given in (rows + chain, rows + without) if blocks else (rows + chain,):
+        got = {r.doc_id: r.class_id for r in bag_minhash.classes(corpus(given), **blocks).collect()}
+        assert got == brute_classes(given)
+    assert len(set(brute_classes(rows + chain).values())) < len(set(brute_classes(rows + without).values()))
+
+
+def test_near_threshold_families_are_those_of_brute_force(corpus, prose):
+    """Copies edited so much that many are under 0.8 to the original, of all of whom some pairs are above."""
+    base = prose(81, 120)
+    rows = [(i, edited(base, i, 1 + i % 5)) for i in range(220)]
+    rows += [(300 + i, edited(rows[i][1], 700 + i, 1)) for i in range(0, 60, 3)]
+    expected = brute_classes(rows)
+    got = {r.doc_id: r.class_id for r in bag_minhash.classes(corpus(rows), block_tokens=4000).collect()}
+    assert 10 < len(set(expected.values())) < 200
+    differ = sum(got[i] != expected[i] for i in expected)
+    assert differ <= 0.02 * len(rows)  # a pair at exactly 0.8 may share no band
+    assert set(got.values()) <= set(got) and all(got[i] <= i for i in got)
+
+
+def test_overlaps_of_blocks_and_of_small_groups_agree():
+    rng = np.random.default_rng(9)
+    sizes = rng.integers(1, 60, 90)
+    token = np.concatenate([rng.choice(200, n, replace=False) for n in sizes])
+    owner, held = np.repeat(np.arange(90), sizes), [set(x.tolist()) for x in np.split(token, np.cumsum(sizes)[:-1])]
+    left, right = np.arange(0, 40), np.arange(40, 90)
+    got = bag_minhash._overlaps_of_blocks(sizes, token, left, right)
+    assert all(got[i, j] == len(held[i] & held[40 + j]) for i in range(40) for j in range(50))
+    group = np.arange(90) // 30
+    a, b, shared = bag_minhash._overlaps_in_groups(group, owner, token)
+    expected = {(i, j): len(held[i] & held[j]) for i in range(90) for j in range(i + 1, 90) if group[i] == group[j]}
+    assert dict(zip(zip(a.tolist(), b.tolist()), shared.tolist())) == {k: v for k, v in expected.items() if v}
+
+
 def test_compact_windows_are_the_wide_nodes_of_the_cartesian_tree():
     rng = np.random.default_rng(5)
     for _ in range(60):
