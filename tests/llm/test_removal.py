@@ -371,6 +371,26 @@ def test_one_changed_word_anywhere_keeps_a_passage(prose):
                 assert inside and inside <= set(range(r["start_word"], r["end_word"] - 4))
 
 
+def test_verbatim_regions_are_those_the_search_gives(prose):
+    """Settled by one sort or searched one by one: the same stretches."""
+    rng, least = random.Random(12), 46
+    pairs = []
+    for n in range(120):
+        passage = prose(2000 + n, rng.randrange(30, 120), 10**6)
+        other = edited(passage, n, rng.choice([0, 0, 0, 1, 2]))
+        twice = passage if n % 17 == 0 else ""
+        pairs.append((f"{prose(n, rng.randrange(12), 10**6)} {passage} {prose(n + 1, 9, 10**6)}",
+                      f"{prose(n + 5, rng.randrange(12), 10**6)} {other} {twice} {prose(n + 6, 4, 10**6)}"))
+    left, right = (Words(pa.array([p[k] for p in pairs])) for k in (0, 1))
+    values = [compact_windows._values(words, words.hashes()) for words in (left, right)]
+    text, first, last, other = compact_windows._verbatim(*values, len(pairs), least)
+    held = {t: (a, b, o, o + b - a) for t, a, b, o in zip(text.tolist(), first.tolist(), last.tolist(), other.tolist())}
+    assert 30 < len(held) < 110
+    for t, found in held.items():
+        mine, others = (v[2][v[0] == t] for v in values)
+        assert compact_windows._alike(mine, others, None, 0.8, least) == [found]
+
+
 def test_all_passages_of_a_region_are_given(prose):
     """Two passages with a gap, irregular edits, words put in and left out, and halves in swapped order."""
     one, two = prose(41, 70, 10**6), prose(42, 80, 10**6)
