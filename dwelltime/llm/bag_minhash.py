@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from dwelltime.llm.arrays import Words, bag_similarity, bags, mix, pieces, shingles
 from dwelltime.llm.components import components
-from dwelltime.llm.tables import keep_table, text_of
+from dwelltime.llm.tables import free_name, keep_table, text_of
 
 BANDS, ROWS = 28, 5
 #: Groups of up to so many rows are compared side by side; columns of an incidence matrix at a time.
@@ -361,4 +361,5 @@ def one_of_each(docs: DataFrame, **how) -> DataFrame:
                      & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == gone["_node"]), "left_anti")
     if not repeated:
         return kept
-    return kept.withColumn("_node", F.xxhash64(text_of())).dropDuplicates(["doc_id", "_node"]).drop("_node")
+    node = free_name(kept, "node")
+    return kept.withColumn(node, F.xxhash64(text_of())).dropDuplicates(["doc_id", node]).drop(node)

@@ -16,8 +16,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from dwelltime.llm.tables import keep_table, text_of
+from dwelltime.llm.tables import free_name, keep_table, text_of
 
 KINDS = ("email", "ip", "card", "phone")
 # Each finds what the plain pattern of its kind finds; possessive runs and the look behind only keep the time linear.
@@ -66,36 +67,70 @@ def _may_hold(kind: str, text: Column) -> Column:
     return text.rlike(r"[0-9]\.[0-9]" if kind == "ip" else r"[0-9](?:[\x20-]?[0-9]){12}")
 
 
-def _placed(text: Column, form: str) -> Column:
-    """All matches of a pattern in order, as structs (start, end, hit, before, after)."""
-    hits, rest = F.regexp_extract_all(text, F.lit(form), F.lit(0)), F.split(text, form, -1)
-    empty = F.lit(None).cast("array<struct<start:int,end:int,hit:string,before:string,after:string>>")
-    first = F.struct(F.lit(0).alias("at"), F.coalesce(empty, F.array()).alias("found"))
+def stored(frame: DataFrame, **columns: Column) -> DataFrame:
+    """The frame with more columns, computed once a row; as mere projections Spark would merge them into what reads
+    them, and a lambda that looks into an array would make the whole array anew for each of its elements."""
+    row = F.struct(*[column.alias(name) for name, column in columns.items()])
+    return frame.select("*", F.inline(F.array(row)))
 
-    def step(done: Column, pair: Column) -> Column:
-        start = done["at"] + F.length(pair["before"])
-        end = start + F.length(pair["hit"])
-        return F.struct(end.alias("at"), F.concat(done["found"], F.array(F.struct(
-            start.alias("start"), end.alias("end"), pair["hit"].alias("hit"), pair["before"].alias("before"),
-            pair["after"].alias("after")))).alias("found"))
 
-    pairs = F.transform(hits, lambda hit, i: F.struct(
-        hit.alias("hit"), F.get(rest, i).alias("before"), F.get(rest, i + 1).alias("after")))
-    return F.aggregate(pairs, first, step, lambda done: done["found"])
+#: Running sums are taken in blocks of so many, then over the blocks: a growing array is copied at every step.
+BLOCK = 256
 
 
-def _spans(kind: str, text: Column) -> Column:
-    """The valid spans of a base kind."""
-    found = F.transform(F.filter(_placed(text, FORMS[kind]), lambda m: _holds(kind, m["hit"])), lambda m: F.struct(
+def _running(values: Column) -> Column:
+    """Running sums of a short array."""
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("sums"))
+    step = lambda done, value: F.struct((done["at"] + value).alias("at"), F.concat(
+        done["sums"], F.array(done["at"] + value)).alias("sums"))
+    return F.aggregate(values, start, step, lambda done: done["sums"])
+
+
+def with_matches(texts: DataFrame, forms: dict[str, tuple[str, Column]]) -> DataFrame:
+    """Adds, for each name, all matches of a pattern in order as structs (start, end, hit, before, after).
+
+    A form goes with a test that every text with a match passes. The time is linear in the matches of a text.
+    """
+    of = lambda name, part: F.col(f"_{name}_{part}")
+    strings = F.array().cast("array<string>")
+    out = stored(texts, **{f"_{name}_{part}": F.when(test, column).otherwise(strings)
+                           for name, (form, test) in forms.items() for part, column in (
+                               ("hits", F.regexp_extract_all("text", F.lit(form), F.lit(0))),
+                               ("rest", F.split("text", form, -1)))})
+
+    def blocks(name: str) -> Column:
+        hits, rest = of(name, "hits"), of(name, "rest")
+        sums = F.transform(F.sequence(F.lit(0), F.size(hits) - 1, F.lit(BLOCK)), lambda first: _running(F.transform(
+            F.slice(hits, first + 1, BLOCK), lambda hit, i: F.length(hit) + F.length(F.get(rest, first + i)))))
+        return F.when(F.size(hits) > 0, sums).otherwise(F.array().cast("array<array<int>>"))
+
+    out = stored(out, **{f"_{name}_sums": blocks(name) for name in forms})
+    out = stored(out, **{f"_{name}_before": F.concat(F.array(F.lit(0)), _running(F.transform(
+        of(name, "sums"), lambda block: F.element_at(block, -1)))) for name in forms})
+
+    def found(name: str) -> Column:
+        def one(hit: Column, i: Column) -> Column:
+            block = F.floor(i / BLOCK).cast("int")
+            end = F.get(of(name, "before"), block) + F.get(F.get(of(name, "sums"), block), i % BLOCK)
+            return F.struct((end - F.length(hit)).alias("start"), end.alias("end"), hit.alias("hit"),
+                            F.get(of(name, "rest"), i).alias("before"), F.get(of(name, "rest"), i + 1).alias("after"))
+        return F.transform(of(name, "hits"), one)
+
+    out = stored(out, **{name: found(name) for name in forms})
+    return out.select(*texts.columns, *forms)
+
+
+def _spans(kind: str) -> Column:
+    """The valid spans of a base kind, from the matches in the column named like it."""
+    return F.transform(F.filter(kind, lambda m: _holds(kind, m["hit"])), lambda m: F.struct(
         F.lit(KINDS.index(kind)).alias("kind"), m["start"].alias("start"), m["end"].alias("end")))
-    return F.when(_may_hold(kind, text), found).otherwise(_no_spans())
 
 
 def _no_spans() -> Column:
     return F.array().cast("array<struct<kind:int,start:int,end:int>>")
 
 
-def _tokens(text: Column) -> Column:
+def _tokens(matches: str) -> Column:
     """Occurrences that may be identifiers: the core of a token, its place and the words around it."""
     def core(m: Column) -> Column:
         lead = F.regexp_extract(m["hit"], r"^[^A-Za-z0-9+@(]*", 0)
@@ -106,9 +141,7 @@ def _tokens(text: Column) -> Column:
                         word(F.right(m["before"], F.lit(CONTEXT)), r"([^\x20\x09-\x0D]+)[\x20\x09-\x0D]*$").alias("left"),
                         word(F.left(m["after"], F.lit(CONTEXT)), r"^[\x20\x09-\x0D]*([^\x20\x09-\x0D]+)").alias("right"))
 
-    found = F.filter(F.transform(_placed(text, TOKEN), core), lambda t: F.length(t["core"]) > 0)
-    return F.when(text.rlike("[0-9@]"), found).otherwise(
-        F.array().cast("array<struct<start:int,end:int,core:string,left:string,right:string>>"))
+    return F.filter(F.transform(matches, core), lambda t: F.length(t["core"]) > 0)
 
 
 def row_key() -> Column:
@@ -118,8 +151,35 @@ def row_key() -> Column:
 def base_table(docs: DataFrame) -> DataFrame:
     """doc_id, key, the base spans in order and the tokens of every row; the one pass over the texts."""
     texts = docs.select("doc_id", row_key().alias("key"), text_of().alias("text"))
-    spans = F.concat(*[_spans(kind, F.col("text")) for kind in KINDS])
-    return keep_table(texts.select("doc_id", "key", spans.alias("base"), _tokens(F.col("text")).alias("tokens")), "base")
+    forms = {kind: (FORMS[kind], _may_hold(kind, F.col("text"))) for kind in KINDS}
+    placed = with_matches(texts, forms | {"token": (TOKEN, F.col("text").rlike("[0-9@]"))})
+    spans = F.concat(*map(_spans, KINDS))
+    return keep_table(placed.select("doc_id", "key", spans.alias("base"), _tokens("token").alias("tokens")), "base")
+
+
+def _free_tokens(base: DataFrame) -> DataFrame:
+    """key, the token's columns, the kind of the base span that it equals, and whether no base span touches it.
+
+    A text's spans and tokens are put in one order, in which running ends and next starts tell what overlaps; no
+    token is held against all spans of its text.
+    """
+    rows = base.dropDuplicates(["key"])
+    tokens = rows.select("key", F.size("base").alias("spans"), F.explode("tokens").alias("token")).select("key", "spans", "token.*")
+    bare = tokens.where("spans = 0").drop("spans").withColumns({"seed": F.lit(None).cast("int"), "free": F.lit(True)})
+    strings = {name: F.lit(None).cast("string") for name in ("core", "left", "right")}
+    spans = rows.select("key", F.explode("base").alias("span")).select("key", "span.start", "span.end", "span.kind")
+    both = spans.withColumns(strings).withColumn("is_token", F.lit(False)).unionByName(
+        tokens.where("spans > 0").drop("spans").withColumns({"kind": F.lit(None).cast("int"), "is_token": F.lit(True)}))
+    order = ["start", "is_token", "end", "kind"]
+    line = Window.partitionBy("key").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    back = Window.partitionBy("key").orderBy(*map(F.desc, order)).rowsBetween(Window.unboundedPreceding, -1)
+    marked = both.withColumns({
+        "reach": F.max(F.when(~F.col("is_token"), F.col("end"))).over(line),
+        "ahead": F.min(F.when(~F.col("is_token"), F.col("start"))).over(back),
+        "seed": F.min("kind").over(Window.partitionBy("key", "start", "end"))})
+    touched = (F.coalesce(F.col("reach") > F.col("start"), F.lit(False))
+               | F.coalesce(F.col("ahead") < F.col("end"), F.lit(False)))
+    return bare.unionByName(marked.where("is_token").withColumn("free", ~touched).select(*bare.columns))
 
 
 def discovered(base: DataFrame, rounds: int = 3, min_known: int = 3, min_share: float = 0.8,
@@ -129,11 +189,7 @@ def discovered(base: DataFrame, rounds: int = 3, min_known: int = 3, min_share:
     A pattern counts from min_known distinct known tokens and a share of min_share on; a token is known from a
     score of min_score on. Every round is two groupings of the pattern-token graph, written to the shared folder.
     """
-    place = base.dropDuplicates(["key"]).select("key", "base", F.explode("tokens").alias("token"))
-    inside = F.filter("base", lambda s: (s["start"] < F.col("token.end")) & (s["end"] > F.col("token.start")))
-    exact = F.filter(inside, lambda s: (s["start"] == F.col("token.start")) & (s["end"] == F.col("token.end")))
-    place = keep_table(place.select("key", "token.*", F.get(exact, F.lit(0))["kind"].alias("seed"),
-                                    (F.size(inside) == 0).alias("free")), "tokens")
+    place = keep_table(_free_tokens(base), "tokens")
     digits = F.length(F.regexp_replace("core", "[^0-9]+", ""))
     form = F.when(F.contains("core", F.lit("@")), "at").otherwise(
         F.concat(F.lit("d"), F.when(digits <= 4, 1).when(digits <= 8, 2).when(digits <= 12, 3).otherwise(4)))
@@ -190,23 +246,31 @@ def _of_kind(kind: int) -> Column:
 
 def mask(docs: DataFrame, **how) -> DataFrame:
     """The documents with every span replaced by its kind in angle brackets; n_chars follows, other columns stay."""
-    some = (find(docs, **how).where(F.size("spans") > 0).groupBy(F.col("key").alias("_key"))
-            .agg(F.min("spans").alias("_spans")))
+    key, spans = free_name(docs, "key"), free_name(docs, "spans")
+    some = (find(docs, **how).where(F.size("spans") > 0).groupBy(F.col("key").alias(key))
+            .agg(F.min("spans").alias(spans)))
     names = F.array(*[F.lit(f"<{kind.upper()}>") for kind in KINDS])
-    out = docs.withColumn("_key", row_key()).join(some, "_key", "left")
-    by_start = F.sort_array(F.transform("_spans", lambda s: F.struct(
+    out = docs.withColumn(key, row_key()).join(some, key, "left")
+    chars, kept = free_name(docs, "chars"), free_name(docs, "kept")
+    by_start = F.sort_array(F.transform(spans, lambda s: F.struct(
         s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
-
-    def step(done: Column, s: Column) -> Column:
-        between = F.substr(F.col("text"), done["at"] + 1, s["start"] - done["at"])
-        return F.when(s["start"] >= done["at"], F.struct(
-            s["end"].alias("at"), F.concat(done["text"], between, F.get(names, s["kind"])).alias("text"))
-        ).otherwise(F.struct(F.greatest(done["at"], s["end"]).alias("at"), done["text"].alias("text")))
-
-    masked = F.aggregate(by_start, F.struct(F.lit(0).alias("at"), F.lit("").alias("text")), step, lambda done: F.concat(
-        done["text"], F.substr(F.col("text"), done["at"] + 1, F.length("text"))))
-    out = out.withColumn("text", F.when(F.col("_spans").isNull(), F.col("text")).otherwise(masked))
+    # Of spans that overlap the first one is named, and what they cover together goes.
+    empty = F.array().cast("array<struct<start:int,end:int,kind:int>>")
+
+    def merge(done: Column, s: Column) -> Column:
+        last = F.try_element_at(done, F.lit(-1))
+        joined = F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.struct(
+            last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"), last["kind"].alias("kind"))))
+        return F.when((F.size(done) > 0) & (s["start"] < last["end"]), joined).otherwise(F.concat(done, F.array(s)))
+
+    out = stored(out, **{chars: F.when(F.col(spans).isNotNull(), F.split("text", "")), kept: F.aggregate(
+        by_start, empty, merge)})
+    between = lambda low, high: F.array_join(F.slice(chars, low + 1, high - low), "")
+    masked = F.concat(F.array_join(F.transform(kept, lambda s, i: F.concat(
+        between(F.when(i == 0, 0).otherwise(F.get(F.col(kept), i - 1)["end"]), s["start"]), F.get(names, s["kind"]))), ""),
+        between(F.element_at(kept, -1)["end"], F.size(chars)))
+    out = out.withColumn("text", F.when(F.col(spans).isNull(), F.col("text")).otherwise(masked))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(
+        out = out.withColumn("n_chars", F.when(F.col(spans).isNull(), F.col("n_chars")).otherwise(
             F.length("text").cast("long")))
     return out.select(*docs.columns)

@@ -47,6 +47,14 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def free_name(frame: DataFrame, wish: str) -> str:
+    """A column name the frame doesn't have yet."""
+    taken = {name.lower() for name in frame.columns}
+    while wish.lower() in taken:
+        wish += "_"
+    return wish
+
+
 def keep_table(frame: DataFrame, label: str, rows_per_file: int | None = None) -> DataFrame:
     """Written once to the shared folder and read back: survives lost executors, cuts lineage."""
     path = fresh_path(frame.sparkSession, label)

@@ -4,12 +4,14 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from dwelltime.llm import lm_scoring, personal_data, quality_rules, sentencepiece
 
@@ -114,6 +116,23 @@ def test_contexts_of_known_numbers_give_unknown_ones_away(corpus):
     assert personal_data.report(corpus([])).count() == 0
 
 
+def test_many_matches_in_one_text_take_linear_time(corpus):
+    """A hundred thousand numbers in one text, every tenth an address: places by hand, in seconds."""
+    words = [f"10.{n % 256}.{n // 256 % 256}.7" if n % 10 == 0 else f"n{n}é" for n in range(100_000)]
+    text = "\U0001F600 ".join(words)
+    started = time.monotonic()
+    (row,) = personal_data.report(corpus([(1, text)])).collect()
+    assert time.monotonic() - started < 60
+    spans = base_spans(text)
+    assert row.n_ip == 10_000 and row.base_sha256 == hashlib.sha256(",".join(spans).encode()).hexdigest()
+    short = " \U0001F600".join(words[:40])
+    masked = personal_data.mask(corpus([(1, short), (2, "clean"), (3, None)]).withColumn("_key", F.lit(77))
+                                .withColumn("spans", F.lit("own")).withColumn("chars", F.lit(1.5)))
+    got = {r.doc_id: r for r in masked.collect()}
+    assert got[1].text == re.sub(r"10(\.[0-9]+){3}", "<IP>", short) and got[1].n_chars == len(got[1].text)
+    assert (got[1]["_key"], got[1].spans, got[1].chars, got[2].text, got[3].text) == (77, "own", 1.5, "clean", None)
+
+
 @pytest.fixture(scope="module")
 def vocabulary():
     return sentencepiece.load()
