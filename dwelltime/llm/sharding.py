@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from dwelltime.llm.tables import keep_table
+from dwelltime.llm.tables import free_name, keep_table
 
 BITS = 60
 LIMIT = 1 << 20
@@ -68,38 +68,51 @@ def directory(sized: DataFrame, limit: int) -> DataFrame:
         low, high = high, min(BITS, high + STEP_BITS)
 
 
-def assign(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
-    """doc_id, n_bytes, shard (the bucket's bits, with a page after a dot where pages were needed) per document."""
-    sized = keep_table(docs.select("doc_id", hash_bits(F.col("doc_id")).alias("bits"), F.coalesce(
-        F.octet_length("text"), F.lit(0)).cast("long").alias("bytes")), "sized")
-    buckets = directory(sized.select("bits", "bytes"), limit)
+def _looked_up(sized: DataFrame, buckets: DataFrame) -> DataFrame:
+    """Every row of (row, bits, bytes) with its shard and what the shard holds."""
     depths = [row[0] for row in buckets.select("depth").distinct().orderBy("depth").collect()]  # at most 61
     # A row looks up one prefix for every depth that occurs; exactly one of them is a bucket.
     asked = sized.select("*", F.explode(F.array(*map(F.lit, depths)) if depths else F.array().cast("array<int>"))
                          .alias("depth")).withColumn("prefix", prefix(F.col("bits"), F.col("depth")))
     placed = asked.join(buckets.select("depth", "prefix", F.col("bytes").alias("held")), ["depth", "prefix"])
     name = F.when(F.col("depth") == 0, "").otherwise(F.lpad(F.bin("prefix"), F.col("depth"), F.lit("0")))
-    placed = placed.select("doc_id", F.col("bytes").alias("n_bytes"), name.alias("shard"), "held")
-    return _with_pages(placed, limit)
+    return placed.select("row", F.col("bytes").alias("n_bytes"), name.alias("shard"), "held")
+
+
+def _assigned(docs: DataFrame, columns: list[str], limit: int) -> DataFrame:
+    """(row, n_bytes, shard), a row for each of docs; row holds the columns asked for."""
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    row = F.struct(*[F.col(f"`{name}`") for name in columns])
+    sized = keep_table(docs.select(row.alias("row"), hash_bits(F.col("doc_id")).alias("bits"), size.alias("bytes")), "sized")
+    return _with_pages(_looked_up(sized, directory(sized.select("bits", "bytes"), limit)), limit)
+
+
+def assign(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
+    """doc_id, n_bytes, shard (the bucket's bits, with a page after a dot where pages were needed) per document."""
+    return _assigned(docs, ["doc_id"], limit).select("row.doc_id", "n_bytes", "shard")
 
 
 def _with_pages(placed: DataFrame, limit: int) -> DataFrame:
     """Numbers pages in buckets of one hash that are over the limit; other rows pass without a shuffle."""
-    fits = placed.where(F.col("held") <= limit).select("doc_id", "n_bytes", "shard")
+    fits = placed.where(F.col("held") <= limit).drop("held")
     over = keep_table(placed.where(F.col("held") > limit).withColumn("part", F.spark_partition_id()), "over")
     if over.isEmpty():
         return fits
     # Rows of each source partition fill pages of their own, so a hot hash is numbered by many tasks.
-    line = Window.partitionBy("shard", "part").orderBy("n_bytes", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    line = Window.partitionBy("shard", "part").orderBy("n_bytes", "row.doc_id").rowsBetween(Window.unboundedPreceding, 0)
     biggest = F.max("n_bytes").over(Window.partitionBy("shard", "part"))
     each = F.greatest(F.lit(1).cast("long"), F.floor(F.lit(limit) / F.greatest(biggest, F.lit(1))))
     page = F.floor((F.count("*").over(line) - 1) / each).cast("string")
-    return fits.unionByName(over.select("doc_id", "n_bytes", F.concat_ws(".", "shard", F.col("part").cast("string"), page)
+    return fits.unionByName(over.select("row", "n_bytes", F.concat_ws(".", "shard", F.col("part").cast("string"), page)
                                         .alias("shard")))
 
 
-def write_shards(docs: DataFrame, path: str, limit: int = LIMIT) -> None:
-    """One folder a shard, with the documents' own columns; documents go to their shard by id."""
-    shards = assign(docs, limit).select(F.col("doc_id").alias("_id"), "shard").distinct()
-    own = docs.join(shards, docs["doc_id"].eqNullSafe(shards["_id"])).drop("_id")
-    own.repartition("shard").write.mode("overwrite").partitionBy("shard").parquet(path)
+def write_shards(docs: DataFrame, path: str, limit: int = LIMIT) -> str:
+    """One folder a shard, with the documents' own columns, every row once; returns the folders' column.
+
+    It is `shard`, with underscores behind where the documents have a column of that name.
+    """
+    folder = free_name(docs, "shard")
+    rows = _assigned(docs, docs.columns, limit).select("row.*", F.col("shard").alias(folder))
+    rows.repartition(folder).write.mode("overwrite").partitionBy(folder).parquet(path)
+    return folder

@@ -44,6 +44,19 @@ def test_shards_are_written_whole(corpus, llm, prose):
     assert back.count() == 50 and back.select("shard").distinct().count() > 1 and "stats" in back.columns
 
 
+def test_rows_that_repeat_an_id_are_written_once(llm, prose):
+    """Three rows of one id over the limit, and a column that is named like the folders."""
+    rows = [(1, prose(1, 60), "mine", 5), (1, prose(2, 60), "own", 6), (1, prose(1, 60), "mine", 5), (2, "small", "x", 7),
+            (None, None, None, None)]
+    docs = llm.createDataFrame(rows, "doc_id long, text string, shard string, part int")
+    path = fresh_path(llm, "shards")
+    folder = sharding.write_shards(docs, path, 1000)
+    back = llm.read.parquet(path)
+    assert folder == "shard_" and sorted(map(str, back.select(*docs.columns).collect())) == sorted(
+        map(str, docs.collect()))
+    assert back.select(folder).distinct().count() >= 2
+
+
 @given(st.lists(st.lists(st.integers(0, 20)), max_size=9))
 @settings(max_examples=200, deadline=None)
 def test_loser_tree_merges_any_number_of_runs(runs):
