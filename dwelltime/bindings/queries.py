@@ -390,6 +390,13 @@ def site_index(spark, sf_dir):
     return documents.index_document(entries, span)
 
 
+def site_index_parts(spark, sf_dir):
+    """The ordered parts of the index."""
+    counts, profile, names, _, directions, span = _documents(spark, sf_dir)
+    entries = documents.index_entries(grains.headlines_of(counts), profile, directions, names)
+    return documents.index_parts(entries, span)
+
+
 def site_status(spark, sf_dir):
     return documents.status_document(grains.site_totals(star.view(spark, sf_dir)), _span(spark, sf_dir))
 
@@ -664,7 +671,7 @@ QUERIES: dict[str, Query] = {
         direction_names, active_services, contradicting_exceptions, version_as_of,
         passed_over_versions, passed_over_counts, missing_version_days, coverage_warnings, newest_version,
         changed_versions, line_drift, feed_tally, stalled_feeds, natural_order, gtfs_clock, json_path,
-        clock_functions, clock_changes, local_profile, text_functions, site_stops, site_line_parts, site_index, site_status,
+        clock_functions, clock_changes, local_profile, text_functions, site_stops, site_line_parts, site_index, site_index_parts, site_status,
         site_file_sizes, position_scan, stored_arrivals, partition_overwrite, zip_members,
         incremental_summary, position_quarantine, file_tally, archive_pruning, prefiltered_records, listed_versions, largest_document,
         landing_stream, feed_tally_stream, stalled_feeds_stream, late_records, recorded_archive)

@@ -150,6 +150,31 @@ def index_entries(heads: DataFrame, profile: DataFrame, directions: DataFrame,
             .select(*LINE, entry.alias("entry")))
 
 
+INDEX_ORDER = ["step", "agency", "width", "line"]
+
+
+def index_parts(entries: DataFrame, span: Span) -> DataFrame:
+    """The index as ordered parts, a row a line between an opening and a closing; sorted by INDEX_ORDER.
+
+    Nothing is gathered: the one line without a comma before it is the least of them.
+    """
+    head = json(F.struct(span.days.alias("days"), span.first_day.alias("first_day"), span.last_day.alias("last_day")))
+    opening = F.concat(F.substring(head, F.lit(1), F.length(head) - 1), F.lit(',"lines":['))
+    placed = entries.select(*LINE, F.length("line").alias("width"), "entry")
+    first = placed.agg(F.min(F.struct("agency", "width", "line")).alias("first")).select("first.*").select(
+        *[F.col(name).alias(f"first_{name}") for name in ("agency", "line")])
+    listed = placed.join(F.broadcast(first), (F.col("agency") == F.col("first_agency")) & (
+        F.col("line") == F.col("first_line")), "left")
+    text = lambda value: F.lit(value).cast("string")
+    # One row, also where no line is listed.
+    ends = entries.sparkSession.range(1)
+    edge = lambda step, part: ends.select(F.lit(step).alias("step"), text(None).alias("agency"),
+                                          F.lit(None).cast("int").alias("width"), text(None).alias("line"), part.alias("part"))
+    middle = listed.select(F.lit(_STOP).alias("step"), "agency", "width", "line", F.concat(
+        F.when(F.col("first_line").isNull(), ",").otherwise(""), F.col("entry")).alias("part"))
+    return edge(_OPEN, opening).unionByName(middle).unionByName(edge(_CLOSE, F.lit("]}")))
+
+
 def index_document(entries: DataFrame, span: Span) -> DataFrame:
     """The index, one row: as many entries as the network has lines, in natural order."""
     ordered = F.array_sort(F.collect_list(

@@ -60,7 +60,7 @@ def write_site(summary: Summary, names: dict[str, DataFrame], span: documents.Sp
     if gzip_copy:
         site.write_lines(parts, f"{built}/lines_gzip", "gzip")
     entries = documents.index_entries(summary.heads, summary.profile, directions, names)
-    site.write_document(documents.index_document(entries, span), f"{built}/index")
+    site.write_parts(documents.index_parts(entries, span), f"{built}/index", documents.INDEX_ORDER)
     site.write_document(documents.status_document(summary.site, span), f"{built}/status")
     return site.publish(spark, built, out)
 

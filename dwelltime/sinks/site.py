@@ -35,6 +35,12 @@ def write_document(document: DataFrame, path: str) -> None:
     document.select("document").coalesce(1).write.mode("overwrite").text(path)
 
 
+def write_parts(parts: DataFrame, path: str, order: list[str]) -> None:
+    """Parts of one document as one file, in order. They meet in one task because they are one file, and stream
+    through it sorted, spilling where they must."""
+    parts.coalesce(1).sortWithinPartitions(*order).select("part").write.mode("overwrite").text(path)
+
+
 def _part(files, folder):
     """The one data file of a folder a writer has filled."""
     found = [entry.getPath() for entry in files.listStatus(folder) if entry.getPath().getName().startswith("part-")]

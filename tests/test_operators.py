@@ -351,8 +351,14 @@ def test_documents_nest_and_keep_thin_stops(spark, frame):
     assert only["stops"][2] == {"cells": [], "id": "s4", "lat": None, "lon": None, "n": 0, "name": "s4", "sched": 1, "seq": 4}
     assert docs["10"]["label"] == "10" and docs["10"]["mode"] == "bus"
 
-    index = json.loads(documents.index_document(
-        documents.index_entries(grains.headlines(view), profile, directions, names), span).first().document)
+    entries = documents.index_entries(grains.headlines(view), profile, directions, names)
+    document = documents.index_document(entries, span).first().document
+    index = json.loads(document)
+    parts = lambda of: [r.part for r in documents.index_parts(of, span).orderBy(*documents.INDEX_ORDER).collect()]
+    assert "".join(parts(entries)) == document and len(parts(entries)) == 4
+    assert json.loads("".join(parts(entries.where("false"))))["lines"] == []
+    plan = documents.index_parts(entries, span)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("collect_list") == 1  # a line's signs, at most two; never all lines
     assert [entry["line"] for entry in index["lines"]] == ["2", "10"]
     assert index["lines"][0]["to"] == ["Downtown"] and index["lines"][0]["n"] == 4
     status = json.loads(documents.status_document(grains.site_totals(view), span).first().document)
