@@ -378,9 +378,9 @@ def test_verbatim_regions_are_those_the_search_gives(prose):
     for n in range(120):
         passage = prose(2000 + n, rng.randrange(30, 120), 10**6)
         other = edited(passage, n, rng.choice([0, 0, 0, 1, 2]))
-        twice = passage if n % 17 == 0 else ""
-        pairs.append((f"{prose(n, rng.randrange(12), 10**6)} {passage} {prose(n + 1, 9, 10**6)}",
-                      f"{prose(n + 5, rng.randrange(12), 10**6)} {other} {twice} {prose(n + 6, 4, 10**6)}"))
+        twice, before = passage if n % 17 == 0 else "", rng.randrange(12)
+        pairs.append((f"{prose(n, before, 10**6)} {passage} {prose(n + 1, 9, 10**6)}",
+                      f"{prose(n + 5, before + (n % 13 == 0), 10**6)} {other} {twice} {prose(n + 6, 4, 10**6)}"))
     left, right = (Words(pa.array([p[k] for p in pairs])) for k in (0, 1))
     values = [compact_windows._values(words, words.hashes()) for words in (left, right)]
     text, first, last, other = compact_windows._verbatim(*values, len(pairs), least)
