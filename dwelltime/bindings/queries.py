@@ -17,7 +17,7 @@ from dwelltime.functions import clock, text
 from dwelltime.operators import (documents, grains, labels, match, monitoring, quality, schedule,
                                  services, versions)
 from dwelltime.plans import summarise, tallies
-from dwelltime.sinks import day_table, site, sizes
+from dwelltime.sinks import site, sizes
 from dwelltime.sinks.arrivals_table import write_arrivals
 from dwelltime.sources import measured, positions, timetables
 from dwelltime.streaming import alarms, landing, record
@@ -347,7 +347,7 @@ def text_functions(spark, sf_dir):
 # Documents ----------------------------------------------------------------------------
 
 def _counted(spark, sf_dir) -> DataFrame:
-    """The histogram of the whole view, counted in one scan, with the day among its keys' columns left out."""
+    """The histogram of the whole view, counted in one scan."""
     return summarise.counted_view(star.view(spark, sf_dir))
 
 

@@ -3,7 +3,7 @@
 import gzip
 import json
 import zipfile
-from datetime import date, datetime, timedelta, timezone
+from datetime import date, datetime, timezone
 from pathlib import Path
 
 import pytest
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from frames import rows
 from dwelltime import workspace
-from dwelltime.operators import grains, quality, versions
+from dwelltime.operators import grains, versions
 from dwelltime.plans import intake, measure, summarise, tallies
 from dwelltime.schemas import OBSERVATIONS
 from dwelltime.sinks import day_table, site, sizes
@@ -336,10 +336,6 @@ def test_vanished_lines_leave_the_site(spark, world, run, tmp_path):
     assert not (build / "lines_gzip").exists()  # no older copy outlives the run
 
 
-def _days_of(spark, path):
-    return rows(measured.read_arrivals(spark, path).select("service_date").distinct())
-
-
 def test_a_failing_write_leaves_the_day_as_it_was(spark, tmp_path, run, monkeypatch):
     out = str(tmp_path / "table")
     whole = run.arrivals.select("*", F.lit(None).alias("x"))
