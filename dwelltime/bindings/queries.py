@@ -495,9 +495,9 @@ def listed_versions(spark, sf_dir):
         star._event_feed().alias("feed"), F.concat(F.lit("v"), F.col("event_id") % 401).alias("version"),
         F.get_json_object("props", "$.k").alias("source_etag"), F.col("event_type").alias("source_url"),
         F.when(F.col("event_id") % 3 != 0, star._instant("ts")).alias("fetched_at"),
-        star._instant("ts").alias("updated_at"), F.array("event_type").alias("route_codes"),
+        star._instant("ts").alias("updated_at"), F.concat_ws(",", "event_type", F.col("user_id").cast("string")).alias("route_codes"),
         F.col("event_id").cast("string").alias("path"))
-    return plain(timetables.listed_versions(saves).drop("route_codes"))
+    return plain(timetables.listed_versions(saves))
 
 
 def largest_document(spark, sf_dir):

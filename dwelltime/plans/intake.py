@@ -70,9 +70,10 @@ def take_in(spark: SparkSession, offered: DataFrame, manifest: str, landed: str,
     routes = timetables.read_landed(spark, landed)["routes"].join(
         wanted, ["feed", "version"], "left_semi")
     published = materialise(versions.published_lines(routes), "published")
-    codes = published.groupBy("feed", "version").agg(F.transform(
+    # One text, as the manifest keeps it: the codes in natural order, with commas between.
+    codes = published.groupBy("feed", "version").agg(F.array_join(F.transform(
         F.array_sort(F.collect_list(F.struct(F.length("line").alias("width"), F.col("line")))),
-        lambda entry: entry["line"]).alias("route_codes"))
+        lambda entry: entry["line"]), ",").alias("route_codes"))
     saved = materialise(changed.join(codes, ["feed", "version"], "left").withColumn(
         "updated_at", F.col("fetched_at")).select(*TIMETABLE_VERSIONS.names), "saved")
     saved.write.mode("append").parquet(manifest)

@@ -47,7 +47,7 @@ ARRIVALS = _fields(
 TIMETABLE_VERSIONS = _fields(
     ("feed", _S), ("version", _S), ("source_etag", _S), ("source_url", _S),
     ("fetched_at", T.TimestampType()), ("updated_at", T.TimestampType()),
-    ("route_codes", T.ArrayType(_S)), ("path", _S),
+    ("route_codes", _S), ("path", _S),
 )
 
 # Rows and measured rows by grain (operators.grains.GRAINS); columns a grain lacks are missing.

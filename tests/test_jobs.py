@@ -113,7 +113,7 @@ def test_intake_keeps_changed_versions_and_reports_drift(spark, world):
     assert rows(world["first"].saved, "version") == [
         ("gtfs_bus-2026-08-16-aaaaaaaa11",), ("gtfs_rail-2026-08-16-rrrrrrrr11",)]
     assert rows(world["second"].saved, "version") == [("gtfs_bus-2026-08-17-bbbbbbbb11",)]
-    assert world["first"].saved.where("feed = 'gtfs_bus'").first().route_codes == ["2", "720"]
+    assert world["first"].saved.where("feed = 'gtfs_bus'").first().route_codes == "2,720"
     assert world["first"].drifted()
     gone = world["first"].drift
     assert gone.where("change = 'added'").isEmpty() and gone.where("agency = 'LACMTA'").count() == 112
