@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 from collections import Counter, defaultdict
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -415,3 +416,55 @@ def test_an_edited_passage_in_two_texts_is_found(corpus, prose):
         pairs.append({2 * k, 2 * k + 1})
     hit = [{r.doc_id, r.other_id} for r in compact_windows.passages(corpus(rows)).collect()]
     assert sum(p in hit for p in pairs) >= 39 and all(p in pairs for p in hit)
+
+
+def test_every_edited_copy_meets_the_copies_it_is_like(corpus):
+    rng, rows = random.Random(5), []
+    for passage in range(3):
+        base = [f"{rng.choice('bcdfgklm')}{rng.choice('aeiou')}{rng.randrange(400)}" for _ in range(60)]
+        rows.append((passage * 100, " ".join(base)))
+        for copy in range(1, 31):
+            words = list(base)
+            words[5 + rng.randrange(50)] = f"changed{copy}"
+            rows.append((passage * 100 + copy, " ".join(words)))
+
+    held = [(i, bag(text)) for i, text in rows]
+    wanted = {frozenset((i, j)) for (i, x), (j, y) in combinations(held, 2) if similarity(x, y) >= 0.8}
+    found = {frozenset((r.doc_id, r.other_id)) for r in compact_windows.passages(corpus(rows)).collect()}
+    assert len(wanted) > 90
+    assert len(wanted & found) >= 0.98 * len(wanted)  # two of five functions must agree on a pair
+
+
+@pytest.mark.parametrize("batch", [1, 7, 1000])
+def test_windows_of_a_large_code_are_linked_by_blocks(monkeypatch, batch):
+    monkeypatch.setattr(compact_windows, "BLOCK", 4)
+    rng = random.Random(batch)
+    rows = sorted((code * 8, rng.randrange(size), doc, 0, 60 + rng.randrange(5), 200)
+                  for code, size in enumerate([1, 2, 4, 5, 11, 1, 23]) for doc in range(size * 2))
+    names = compact_windows._WINDOW_NAMES
+
+    def batches(table, names):
+        columns = [pa.array(c, pa.int64()) for c in zip(*table, strict=True)]
+        whole = pa.RecordBatch.from_arrays(columns, names)
+        return iter([whole.slice(at, batch) for at in range(0, whole.num_rows, batch)])
+
+    found, left = [], []
+    for part in compact_windows._links(batches(rows, names)):
+        for row in part.to_pylist():
+            (found if row["link"] else left).append(row["link"] or row["open"])
+    blocks = Counter()
+    for row in left:
+        blocks[row["code"]] = max(blocks[row["code"]], row["block"] + 1)
+    assert max(Counter((r["code"], r["block"]) for r in left).values()) == 4
+    dealt = sorted((r["code"], min(r["block"], k), max(r["block"], k), r["block"], *[r[n] for n in names[1:]])
+                   for r in left for k in range(blocks[r["code"]]))
+    dealt = [(code, *rest, block, i, j) for code, i, j, block, *rest in dealt]
+    for part in compact_windows._block_links(batches(dealt, [*names, "block", "i", "j"])):
+        found += part.to_pylist()
+    firsts = {}
+    for row in rows:
+        firsts.setdefault(row[:2], row)
+    wanted = [(x[0], *sorted((x[2], y[2]))) for x, y in combinations(firsts.values(), 2) if x[0] == y[0]]
+    copies = [(row[0], *sorted((firsts[row[:2]][2], row[2]))) for row in rows if firsts[row[:2]] is not row]
+    assert sorted((r["a"], r["b"]) for r in found if not r["f"] & compact_windows.COPY) == sorted(w[1:] for w in wanted)
+    assert sorted((r["a"], r["b"]) for r in found if r["f"] & compact_windows.COPY) == sorted(w[1:] for w in copies)
