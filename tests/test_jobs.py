@@ -13,7 +13,7 @@ from frames import rows
 from dwelltime import workspace
 from dwelltime.operators import grains, versions
 from dwelltime.plans import intake, measure, summarise, tallies
-from dwelltime.schemas import OBSERVATIONS
+from dwelltime.schemas import OBSERVATIONS, TALLIES
 from dwelltime.sinks import day_table, site, sizes
 from dwelltime.sinks.arrivals_table import write_arrivals
 from dwelltime.sources import measured, positions, timetables
@@ -434,6 +434,38 @@ def test_a_new_day_reads_one_day_and_equals_a_rebuild(spark, run, world, tmp_pat
     assert read[-1] == [DAY]
 
 
+def test_a_changed_day_leaves_the_total_unwritten(spark, tmp_path):
+    kept = str(tmp_path / "tallies")
+    counted = {}
+
+    def counts_of(day, n):
+        counted[day] = n
+        day_table.write_days(spark.createDataFrame(
+            [(date(2026, 8, day), "trips", "A", "7", None, None, None, None, None, None, str(trip), n, 1) for trip in range(2)],
+            TALLIES), f"{kept}/days", [date(2026, 8, day)])
+
+    def checked():
+        got = rows(tallies.total(spark, kept), "trip_id", "n", "seen")
+        assert got == [(str(trip), sum(counted.values()), len(counted)) for trip in range(2)]
+        manifests = day_table.numbered(spark, f"{kept}/total/_manifest")
+        return json.loads(day_table.read_small(spark, manifests[max(manifests)]))["folder"]
+
+    for day in range(1, 8):
+        counts_of(day, day)
+    first = checked()
+    for day, n in ((8, 3), (2, 50), (2, 60)):
+        counts_of(day, n)
+        assert checked() == first
+    for day in range(1, 7):
+        counts_of(day, 90 + day)
+    second = checked()
+    assert second != first
+    counts_of(1, 1)
+    assert checked() == second
+    folders = {path.name for path in (tmp_path / "tallies/total").iterdir()}
+    assert first not in folders and second in folders
+
+
 def test_summarise_from_kept_tallies_writes_the_same_site(spark, world, run, tmp_path):
     whole, kept = tmp_path / "whole", tmp_path / "kept"
     paths = world["out"], world["landed"], world["manifest"]
