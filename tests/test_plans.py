@@ -106,3 +106,8 @@ def test_all_grains_come_from_one_scan_and_equal_those_of_the_rows(spark):
                             (grains.stop_cells, grains.stop_cells_of), (grains.stop_totals, grains.stop_totals_of),
                             (grains.site_totals, grains.all_site_totals_of)):
         assert rows(direct(view)) == rows(counted(counts)), direct.__name__
+
+
+def test_merged_partitions_are_bounded(spark):
+    """Tasks of small shuffles are merged, but not beyond what the sorts and hash tables of one task may take."""
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16MB"
