@@ -137,6 +137,12 @@ def timetable(frame):
     return stop_times, trips, running
 
 
+def test_stops_meet_trips_before_days_are_spread(timetable):
+    plan = schedule.scheduled_stops(*timetable, LOS_ANGELES)._jdf.queryExecution().optimizedPlan().toString()
+    nodes = [line.strip(" :+-").split()[0] for line in plan.splitlines()]
+    assert "Generate" in nodes and nodes.index("Generate") < nodes.index("Join")
+
+
 def test_scheduled_stops(timetable):
     due = schedule.scheduled_stops(*timetable, LOS_ANGELES)
     assert due.schema.names == SCHEDULED.names
