@@ -9,7 +9,8 @@ from dwelltime import fixed_values as fixed
 from dwelltime.network import LOS_ANGELES
 from dwelltime.operators import (documents, grains, labels, match, monitoring, observe, quality, schedule,
                                  services, versions)
-from dwelltime.schemas import OBSERVATIONS, SCHEDULED
+from dwelltime.plans import summarise
+from dwelltime.schemas import HISTOGRAM, OBSERVATIONS, SCHEDULED
 
 DAY = date(2026, 8, 18)
 FLAGS = ", ".join(f"{d} string" for d in fixed.WEEKDAY_COLUMNS)
@@ -376,3 +377,20 @@ def test_site_totals_of_nothing(frame):
                                        "delay_seconds int, is_origin boolean"), "UTC")
     row = grains.site_totals(view).first()
     assert (row.scheduled_stops, row.coverage_pct) == (0, None)
+
+
+def test_days_are_counted_in_the_pass_of_the_histogram(spark):
+    base = spark.range(40).selectExpr(
+        "'A' AS agency", "'7' AS line", "0 AS direction_id", "CAST(id % 3 AS STRING) AS stop_id", "CAST(id % 9 AS INT) AS how",
+        "'wk-am' AS bucket", "CAST(id % 4 AS INT) AS stop_sequence", "CAST(id AS STRING) AS trip_id",
+        "IF(id % 5 = 0, NULL, CAST(id AS INT)) AS delay_seconds", "DATE_ADD(DATE'2026-08-18', CAST(id % 6 AS INT)) AS service_date")
+    for view in (base, base.where("false")):
+        counts, days = summarise.counted_days(view)
+        assert rows(grains.day_span(days)) == rows(grains.day_span(view))
+        assert rows(counts) == rows(grains.histogram(view))
+
+
+def test_cells_of_a_stop_need_one_exchange(spark):
+    counts = spark.createDataFrame([], HISTOGRAM)
+    cells = grains.stop_cells_of(counts).groupBy(*grains.STOP).agg(F.collect_list("bucket"))
+    assert cells._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
