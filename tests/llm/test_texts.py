@@ -227,3 +227,36 @@ def test_base_scores_and_better_held_out_scores(corpus, odd, head):
 def test_log_bilinear_probabilities_sum_to_one():
     model = lm_scoring.start_model(np.full(9, 1 / 9), 4)
     assert np.allclose(np.exp(model.table()).sum(axis=2), 1)
+
+
+def test_contexts_of_rare_words_help_too(corpus):
+    rng, rows = random.Random(3), []
+    for i in range(500):  # 600 words of about one frequency; each says what comes next
+        w, words = rng.randrange(600), []
+        for _ in range(40):
+            words.append(f"w{w}")
+            w = (w * 7 + 3) % 600
+        rows.append((i, " ".join(words)))
+    got = [r for r in lm_scoring.score(corpus(rows)).collect() if r.held_out]
+    assert sum(r.score for r in got) > sum(r.base_score for r in got) * 0.7
+
+
+def test_class_factored_probabilities_sum_to_one():
+    rng = np.random.default_rng(4)
+    model = lm_scoring.start_model(rng.dirichlet(np.ones(21)), 4, short=3, members=5)
+    for part in model.parts()[3:]:
+        part[..., :-1] = rng.normal(0, 1, part[..., :-1].shape)
+    found = np.exp(model.table())
+    assert found.shape == (22, 22, 21) and np.allclose(found.sum(axis=2), 1, atol=1e-5)
+
+
+def test_every_token_has_a_slot_and_every_count_is_in_one(corpus):
+    rng = random.Random(6)
+    docs = corpus([(i, " ".join(f"t{int(rng.paretovariate(0.5))}" for _ in range(60))) for i in range(60)])
+    table, counts = lm_scoring.gather(docs, head=200, words=50, buckets=30)
+    rows = table.collect()
+    code = np.array([r["code"] for r in rows]).view(np.uint64)
+    slot = counts.slot(code, lm_scoring._find(counts.hashes, code))
+    mass = np.bincount(slot, [r["c"] + 1 for r in rows], len(counts.mass)) + (np.arange(len(counts.mass)) >= counts.own)
+    assert counts.own == 50 and len(counts.mass) == 80 and (mass == counts.mass).all()
+    assert counts.mass.sum() == counts.total + counts.distinct + 30
