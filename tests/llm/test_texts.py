@@ -250,6 +250,49 @@ def test_class_factored_probabilities_sum_to_one():
     assert found.shape == (22, 22, 21) and np.allclose(found.sum(axis=2), 1, atol=1e-5)
 
 
+def test_tasks_of_a_round_follow_the_training_tokens(corpus, monkeypatch):
+    docs = corpus([(i, f"a{i % 7} b{i % 5} c") for i in range(100)]).repartition(12)
+    asked, coalesce = [], type(docs).coalesce
+    monkeypatch.setattr(type(docs), "coalesce", lambda self, n: asked.append(n) or coalesce(self, n))
+    _, counts = lm_scoring.gather(docs)
+    for tasks in (1, 5):
+        monkeypatch.setattr(lm_scoring, "SHARD_TOKENS", -(-counts.total // tasks))
+        lm_scoring.train(docs, counts, width=4, rounds=1)
+    assert asked == [1, 5]
+
+
+def test_hashes_are_found_where_a_search_finds_them():
+    rng = np.random.default_rng(9)
+    for n in (0, 1, 2, 300, 5000):
+        held = np.unique(np.append(rng.integers(0, 1 << 64, n, np.uint64), np.uint64([0, 2**64 - 1])[:n]))
+        held = np.unique(np.append(held, held[:n // 2] + np.uint64(1)))
+        asked = np.concatenate([held, held + np.uint64(1), held - np.uint64(1), rng.integers(0, 1 << 64, 99, np.uint64)])
+        asked = np.append(asked, np.uint64([0, 2**64 - 1]))
+        at = np.searchsorted(held, asked)
+        expected = np.where(np.append(held, np.uint64(0))[at] == asked, at, len(held)) if n else np.zeros(len(asked))
+        expected[at == len(held)] = len(held)
+        assert (lm_scoring.Finder(held)(asked) == expected).all()
+
+
+def test_classes_are_contrasted_together_as_one_by_one():
+    rng = np.random.default_rng(4)
+    model = lm_scoring.start_model(rng.dirichlet(np.ones(90)), 6, short=10, members=16)
+    model.own[:, :, :-1] = rng.normal(0, 0.3, model.own[:, :, :-1].shape)
+    trainer = lm_scoring.Trainer(model, (model.top[:, -1].copy(), model.own[:, :, -1].copy()), [1])
+    group = np.sort(rng.choice([0, 2, 3], 200))
+    member, h = rng.integers(0, 16, 200), rng.normal(size=(200, 7)).astype(np.float32)
+    trainer.rng = np.random.default_rng(5)
+    slope, rows, slopes = trainer._contrast_members(h, group, member)
+    other, n = np.random.default_rng(5), trainer.member_noise
+    for i, g in enumerate([0, 2, 3]):
+        own, noise = group == g, slice(200 + i * n, 200 + i * n + n)
+        drawn = np.searchsorted(trainer.upto_own[g], other.random(n) * trainer.upto_own[g, -1])
+        expected = lm_scoring._contrast(h[own], model.own[g], member[own], drawn, trainer.log_own[g])
+        assert (np.concatenate([rows[:200][own], rows[noise]]) == g * 16 + expected[1]).all()
+        assert np.allclose(slope[own], expected[0], atol=1e-6)
+        assert np.allclose(np.concatenate([slopes[:200][own], slopes[noise]]), expected[2], atol=1e-5)
+
+
 def test_every_token_has_a_slot_and_every_count_is_in_one(corpus):
     rng = random.Random(6)
     docs = corpus([(i, " ".join(f"t{int(rng.paretovariate(0.5))}" for _ in range(60))) for i in range(60)])
