@@ -468,3 +468,20 @@ def test_windows_of_a_large_code_are_linked_by_blocks(monkeypatch, batch):
     copies = [(row[0], *sorted((firsts[row[:2]][2], row[2]))) for row in rows if firsts[row[:2]] is not row]
     assert sorted((r["a"], r["b"]) for r in found if not r["f"] & compact_windows.COPY) == sorted(w[1:] for w in wanted)
     assert sorted((r["a"], r["b"]) for r in found if r["f"] & compact_windows.COPY) == sorted(w[1:] for w in copies)
+
+
+def test_a_text_is_read_once_for_all_that_is_asked_of_it(monkeypatch):
+    monkeypatch.setattr(compact_windows, "TEXT_BYTES", 40)
+    read = []
+    monkeypatch.setattr(compact_windows, "Words", lambda column: read.append(len(column)) or Words(column))
+    texts = [" ".join(f"{name}{k}" for k in range(30)) for name in ("ä", "b")] + [""]
+    asks = [[(10 * i + k, k % 2, lo, hi) for k, (lo, hi) in enumerate([(-3, 4), (2, 2), (20, 99), (90, 95), (0, 0)])]
+            for i in range(3)]
+    kind = pa.list_(pa.struct({"pair": pa.int64(), "side": pa.int32(), "lo": pa.int32(), "hi": pa.int32()}))
+    rows = [[dict(zip(("pair", "side", "lo", "hi"), a, strict=True)) for a in some] for some in asks]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([7, 8, 9, 9]), pa.array([texts[0], *texts]), pa.array([[], *rows], kind)], ["doc_id", "text", "asks"])
+    found = [r for part in compact_windows._cut(iter([batch.slice(1)])) for r in part.to_pylist()]
+    expected = [(pair, side, doc, max(lo, 0), " ".join(text.split()[max(lo, 0):hi + 5]))
+                for doc, text, some in zip((8, 9, 9), texts, asks, strict=True) for pair, side, lo, hi in some]
+    assert [tuple(r.values()) for r in found] == expected and read == [3]
