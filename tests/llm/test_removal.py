@@ -485,3 +485,39 @@ def test_a_text_is_read_once_for_all_that_is_asked_of_it(monkeypatch):
     expected = [(pair, side, doc, max(lo, 0), " ".join(text.split()[max(lo, 0):hi + 5]))
                 for doc, text, some in zip((8, 9, 9), texts, asks, strict=True) for pair, side, lo, hi in some]
     assert [tuple(r.values()) for r in found] == expected and read == [3]
+
+
+def _links_of(texts):
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], ["doc", "text"])
+    windows = pa.Table.from_batches(compact_windows._windows(iter([batch])))
+    order = [(name, "ascending") for name in ("code", "local", "doc", "c")]
+    batches = windows.sort_by(order).combine_chunks().to_batches()
+    found = [r for part in compact_windows._links(iter(batches)) for r in part.to_pylist()]
+    assert all(r["link"] for r in found)
+    return windows.num_rows, [r["link"] for r in found]
+
+
+def test_a_common_line_links_no_texts_but_a_common_passage_does(prose, monkeypatch):
+    n, line, passage = 40, prose(1, 13, 10**6), prose(2, 60, 10**6)
+
+    def around(middle, seed):
+        return [f"{prose(seed + i, 60, 10**6)} {middle} {prose(seed + n + i, 60, 10**6)}" for i in range(n)]
+
+    monkeypatch.setattr(compact_windows, "SEEN", 1)
+    monkeypatch.setattr(compact_windows, "CROWD", 1)
+    assert not _links_of(around(line, 100))[1]
+    functions = Counter(pair[:2] for pair in {(r["a"], r["b"], r["f"]) for r in _links_of(around(passage, 300))[1]})
+    assert set(functions) == set(combinations(range(n), 2)) and min(functions.values()) >= 2
+
+
+def test_a_word_said_over_and_over_is_covered_by_few_rows(corpus, prose):
+    texts = [f"{prose(i, 30)} {'the ' * size}{prose(50 + i, 30)}" for i, size in enumerate((400, 90, 60))]
+    assert _links_of(texts)[0] < 400
+    found = compact_windows.passages(corpus(list(enumerate(texts)))).collect()
+    assert len(found) < 60
+    covered = {i: set() for i in range(3)}
+    for r in found:
+        covered[r.doc_id].update(range(r.start_word, r.end_word))
+        covered[r.other_id].update(range(r.other_start, r.other_end))
+    for i, size in enumerate((400, 90, 60)):
+        assert covered[i] >= set(range(30, 30 + size))
