@@ -521,3 +521,9 @@ def test_a_word_said_over_and_over_is_covered_by_few_rows(corpus, prose):
         covered[r.other_id].update(range(r.other_start, r.other_end))
     for i, size in enumerate((400, 90, 60)):
         assert covered[i] >= set(range(30, 30 + size))
+
+
+def test_runs_of_words_that_drifted_are_held_against_each_other(prose):
+    left = f"{prose(1, 12)} {'the ' * 34}{'ering ' * 34}{prose(2, 10)}"
+    found = _verify(left, f"{'the ' * 51}{'ering ' * 40}{prose(3, 10)}")
+    assert {(r["start_word"], r["end_word"], r["similarity"]) for r in found} >= {(12, 80, 1.0)}
