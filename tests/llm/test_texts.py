@@ -261,6 +261,24 @@ def test_tasks_of_a_round_follow_the_training_tokens(corpus, monkeypatch):
     assert asked == [1, 5]
 
 
+def test_every_round_reads_all_training_texts(corpus, monkeypatch):
+    docs = corpus([(i, f"a{i} b{i % 5} c") for i in range(100)])
+    monkeypatch.setattr(lm_scoring, "SMALL", 0, raising=False)  # a round read a part of corpora of more tokens
+    read, coalesce = [], type(docs).coalesce
+    monkeypatch.setattr(type(docs), "coalesce", lambda self, n: read.append(self.count()) or coalesce(self, n))
+    _, counts = lm_scoring.gather(docs)
+    lm_scoring.train(docs, counts, width=4)
+    assert read == [sum(zlib.crc32(str(i).encode()) % 7 != 2 for i in range(100))] * 4
+
+
+def test_slopes_are_summed_by_row():
+    rng = np.random.default_rng(2)
+    rows, slopes = np.append(np.sort(rng.integers(0, 9, 50)), rng.integers(0, 12, 20)), rng.normal(size=(70, 3))
+    expected = [[slopes[rows == k, j].sum() for k in range(12)] for j in range(3)]
+    assert np.allclose(lm_scoring._sum_rows(12, rows, slopes), expected, atol=1e-5)
+    assert np.allclose(lm_scoring._sum_runs(12, rows, slopes, 50), expected, atol=1e-5)
+
+
 def test_hashes_are_found_where_a_search_finds_them():
     rng = np.random.default_rng(9)
     for n in (0, 1, 2, 300, 5000):
