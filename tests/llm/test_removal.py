@@ -418,6 +418,24 @@ def test_an_edited_passage_in_two_texts_is_found(corpus, prose):
     assert sum(p in hit for p in pairs) >= 39 and all(p in pairs for p in hit)
 
 
+def test_windows_and_links_leave_no_shuffle_files(corpus, llm, monkeypatch):
+    key, kept, keep = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", [], compact_windows.keep_table
+    before = llm.conf.get(key)
+    monkeypatch.setattr(compact_windows, "keep_table",
+                        lambda frame, label: kept.append((label, llm.conf.get(key))) or keep(frame, label))
+    compact_windows.passages(corpus([(1, "one text")]))
+    assert kept == [("links", "true"), ("regions", "true")] and llm.conf.get(key) == before
+
+
+def test_packed_links_come_apart_as_they_were(llm):
+    rows = [(-5, 7, 3 | compact_windows.COPY, 90000, 2, 2**31 - 1, -89000), (1, 2, 0, 0, 0, 0, 0), (1, 1, 4, 70, 25, 99, 600)]
+    links = llm.createDataFrame(rows, compact_windows.LINK)
+    packed = compact_windows._packed(links)
+    assert len(packed.columns) < len(links.columns)
+    apart = compact_windows._apart(packed)
+    assert apart.columns == links.columns and sorted(tuple(r) for r in apart.collect()) == sorted(rows)
+
+
 def test_every_edited_copy_meets_the_copies_it_is_like(corpus):
     rng, rows = random.Random(5), []
     for passage in range(3):
