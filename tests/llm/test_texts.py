@@ -271,6 +271,17 @@ def test_every_round_reads_all_training_texts(corpus, monkeypatch):
     assert read == [sum(zlib.crc32(str(i).encode()) % 7 != 2 for i in range(100))] * 4
 
 
+def test_a_task_trains_its_own_copy_of_every_part():
+    rng = np.random.default_rng(3)
+    model = lm_scoring.start_model(rng.dirichlet(np.ones(90)), 6, short=10, members=16)
+    before = [p.copy() for p in model.parts()]
+    trainer = lm_scoring.Trainer(model, (model.top[:, -1].copy(), model.own[:, :, -1].copy()), [1])
+    trainer.add(*rng.integers(0, 90, (3, 2000)))
+    trainer.finish()
+    assert all((a == b).all() for a, b in zip(model.parts(), before, strict=True))
+    assert {part for part, _, _, change in trainer.changes() if change.any()} == set(range(5))
+
+
 def test_slopes_are_summed_by_row():
     rng = np.random.default_rng(2)
     rows, slopes = np.append(np.sort(rng.integers(0, 9, 50)), rng.integers(0, 12, 20)), rng.normal(size=(70, 3))
